@@ -4,6 +4,7 @@ from importlib import import_module
 
 _MODULES = [
     "ledger_queries",
+    "pixel_queries",
 ]
 
 

@@ -5,6 +5,7 @@ from importlib import import_module
 _MODULES = [
     "ledger_queries",
     "pixel_queries",
+    "stream_queries",
 ]
 
 

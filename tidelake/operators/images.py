@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StringType, StructField, StructType
 
 from tidelake.functions import kernels
 from tidelake.functions.content import draw
@@ -269,6 +269,21 @@ def image_vectors(df: DataFrame, mean=None, std=None, image: str = "image") -> D
     return df.mapInArrow(work, _schema(rest, vector=ArrayType(FloatType())))
 
 
+def row_profile(df: DataFrame, image: str = "image") -> DataFrame:
+    """``profile``: mean grey level of each picture row, from the top."""
+
+    def work(batches):
+        for batch in _slices(batches, SLICE):
+            pictures, _ = _unpack(batch.column(image))
+            profiles = [
+                None if p is None else kernels.luma(kernels.to_rgb(p[None]))[0].mean(axis=1)
+                for p in pictures
+            ]
+            yield _with(batch, {"profile": pa.array(profiles, pa.list_(pa.float64()))}, drop=(image,))
+
+    return df.mapInArrow(work, _schema(df.drop(image), profile=ArrayType(DoubleType())))
+
+
 Model = Callable[[np.ndarray], np.ndarray]
 
 

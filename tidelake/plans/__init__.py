@@ -6,6 +6,7 @@ _MODULES = [
     "ledger_queries",
     "pixel_queries",
     "stream_queries",
+    "quality_queries",
 ]
 
 

@@ -43,6 +43,8 @@ STAGED = StructType(
     ]
 )
 
+PLACE = ["source_file", "row_index", "batch_id"]
+
 
 def read_or_empty(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
     """A table that need not exist yet."""
@@ -163,13 +165,13 @@ def label_staged(
 def _fresh(
     rows: DataFrame, folder: str, ledger: str, prefix: str, digits: int
 ) -> DataFrame:
-    """Places and file names of contents that are in neither the ledger nor the folder.
+    """Places of contents that are in neither the ledger nor the folder.
 
     Only digests and places are read and shuffled here, never pixels.
     """
     spark = rows.sparkSession
     known = read_or_empty(spark, ledger, schema.EXPORT_LEDGER)
-    first = first_occurrence(rows, "content_hash", ["source_file", "row_index"])
+    first = first_occurrence(rows, "content_hash", PLACE)
     named = new_content(first, known, "content_hash", "file_hash").withColumn(
         "file_name", export_name(F.col("content_hash"), prefix, digits)
     )
@@ -180,7 +182,7 @@ def _fresh(
             raise
         there = spark.createDataFrame([], "file_name string")
     return checkpointed(
-        not_present(named, there).select("source_file", "row_index", "content_hash", "file_name")
+        not_present(named, there).select(*PLACE)
     )
 
 
@@ -219,9 +221,7 @@ def export_overlays(
 
 def _export(rows, folder, ledger, encoder, prefix, digits, overlay) -> None:
     places = _fresh(rows, folder, ledger, prefix, digits)
-    order = ["source_file", "row_index"]
-    # a content can lie in several staged batches; its first place names one row per batch
-    chosen = keep_rows(rows, places.select(*order), order).withColumn(
+    chosen = keep_rows(rows, places, PLACE).withColumn(
         "file_name", export_name(F.col("content_hash"), prefix, digits)
     )
     if overlay is not None:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidelake.operators.skew import ROWS_PER_TASK, attach, neighbours, top_per_group
 
@@ -43,27 +47,33 @@ def ood_scores(df: DataFrame, vector: str, label: str, sigmas: float = 3.0) -> D
 
 
 def class_scores(df: DataFrame, vector: str, classes: DataFrame, label: str) -> DataFrame:
-    """Add ``scores``: softmax of minus the distance to each class centroid, in label order.
+    """Add ``scores``: softmax of minus the distance to each class centroid, and their ``classes``.
 
-    The centroids are the model's weights: at most MAX_CLASSES rows, else the query fails.
+    The centroids are the model's weights: at most MAX_CLASSES rows travel to the tasks, more are an
+    error. The arithmetic is one matrix operation per Arrow batch.
     """
-    packed = classes.select(label, "centroid").limit(MAX_CLASSES + 1).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "centroid"))).alias("c")
-    )
-    checked = packed.select(
-        F.when(F.size("c") <= MAX_CLASSES, F.col("c")).otherwise(
-            F.raise_error(F.lit("more classes than one byte can name"))
-        ).alias("c")
-    ).scalar()
-    weights = F.transform(checked, lambda c: F.exp(-distance(F.col(vector), c["centroid"])))
-    scored = df.withColumn("_w", weights)
-    total = F.aggregate("_w", F.lit(0.0), lambda s, x: s + x)
-    return (
-        scored.withColumn("_t", total)
-        .withColumn("scores", F.transform("_w", lambda w: w / F.col("_t")))
-        .withColumn("classes", F.transform(checked, lambda c: c["label"]))
-        .drop("_w", "_t")
-    )
+    rows = classes.select(label, "centroid").orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError("more classes than one byte can name")
+    names = [r[label] for r in rows]
+    weights = np.array([r["centroid"] for r in rows], dtype=np.float64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(vector)
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            flat = column.drop_null().flatten().to_numpy(zero_copy_only=False)
+            points = flat.astype(np.float64).reshape(-1, weights.shape[1])
+            far = [np.sqrt(((points - w) ** 2).sum(axis=1)) for w in weights]
+            parts = np.exp(-np.stack(far, axis=1))
+            scores = np.zeros((batch.num_rows, len(names)))
+            scores[known] = parts / parts.sum(axis=1, keepdims=True)
+            starts = pa.array(np.arange(batch.num_rows + 1) * len(names), pa.int32())
+            packed = pa.ListArray.from_arrays(starts, pa.array(scores.ravel()), mask=pa.array(~known))
+            yield pa.RecordBatch.from_arrays([*batch.columns, packed], [*batch.schema.names, "scores"])
+
+    scored = StructType([*df.schema, StructField("scores", ArrayType(DoubleType()))])
+    return df.mapInArrow(work, scored).withColumn("classes", F.lit(names))
 
 
 def predicted(scores: Column, classes: Column) -> Column:

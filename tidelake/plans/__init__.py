@@ -7,6 +7,7 @@ _MODULES = [
     "pixel_queries",
     "stream_queries",
     "quality_queries",
+    "model_queries",
 ]
 
 

@@ -350,7 +350,7 @@ def px_rotate(spark, sf_dir):
             (cast(v as float) / cast(255 as float) - m) / s as e
             from rgb join (values (0, 0.485::float, 0.229::float), (1, 0.456::float, 0.224::float),
                                   (2, 0.406::float, 0.225::float)) k(c, m, s) using (c))
-        select image_id, count(*) as n, round(sum(round(cast(e as double), 4)), 2) as total,
+        select image_id, count(*) as n, round(sum(round(cast(e as double), 4)), 4) as total,
                round(cast(max(e) filter (where c = 0 and x = 3 and y = 5) as double), 3) as sample
         from n group by image_id"""
 )
@@ -362,7 +362,7 @@ def px_model_input(spark, sf_dir):
     return vectors.select(
         "image_id",
         F.size("vector").cast("long").alias("n"),
-        F.round(F.aggregate(rounded, F.lit(0.0), lambda a, b: a + b), 2).alias("total"),
+        F.round(F.aggregate(rounded, F.lit(0.0), lambda a, b: a + b), 4).alias("total"),
         F.round(F.col("vector")[43].cast("double"), 3).alias("sample"),
     )
 

@@ -108,11 +108,11 @@ def test_crash_between_data_and_ledger(spark, lake, monkeypatch):
     real = jobs.record_files
     calls = []
 
-    def fails_once(*args):
+    def fails_once(*args, **more):
         calls.append(1)
         if len(calls) == 2:
             raise RuntimeError("lost between data and ledger")
-        return real(*args)
+        return real(*args, **more)
 
     monkeypatch.setattr(jobs, "record_files", fails_once)
     with pytest.raises(Exception):
@@ -223,3 +223,17 @@ def test_short_names_can_meet_and_full_names_cannot(spark):
     rows = spark.createDataFrame([("a" * 12 + "0" * 20,), ("a" * 12 + "1" * 20,)], "h string")
     assert rows.select(export_name(F.col("h"), digits=12)).distinct().count() == 1
     assert rows.select(export_name(F.col("h"))).distinct().count() == 2
+
+
+def test_checked_append(spark, lake):
+    from tidelake.sinks.tables import append_checked
+
+    expected = schema.StructType([
+        schema.StructField("a", schema.LongType()), schema.StructField("b", schema.StringType())
+    ])
+    append_checked(spark.createDataFrame([(1, "x")], "a long, b string"), lake("t"), expected)
+    append_checked(spark.createDataFrame([(2,)], "a long"), lake("t"), expected)
+    assert spark.read.parquet(lake("t")).schema == expected
+    assert spark.read.parquet(lake("t")).count() == 2
+    with pytest.raises(ValueError):
+        append_checked(spark.createDataFrame([("x",)], "a string"), lake("t"), expected)

@@ -20,7 +20,7 @@ from tidelake.functions.content import draw
 from tidelake.schema import IMAGE
 
 ARROW_IMAGE = to_arrow_type(IMAGE)
-SLICE = 32
+SLICE = 8  # pictures worked on at a time: their arrays should stay in the CPU cache
 MODES = {1: 0, 3: 16, 4: 24}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.functions.content import export_name
-from tidelake.operators.skew import ROWS_PER_TASK, SMALL_ROWS, numbered
+from tidelake.operators.skew import ROWS_PER_TASK, join_counted, numbered
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "file_path") -> DataFrame:
@@ -40,13 +40,9 @@ def dedup_content(df: DataFrame, digest: str, order_by: list[str]) -> DataFrame:
 
 
 def keep_rows(df: DataFrame, places: DataFrame, order_by: list[str]) -> DataFrame:
-    """Semi-join on row places; a counted list of at most SMALL_ROWS is broadcast.
-
-    For micro-batches: the pixels then stay where they were read.
-    """
-    if places.count() <= SMALL_ROWS:
-        places = F.broadcast(places)
-    return df.join(places, order_by, "left_semi")
+    """Semi-join on row places. While their counted list is small it is broadcast, and the pixels
+    stay where they were read."""
+    return join_counted(df, places, order_by, "left_semi")
 
 
 def new_content(df: DataFrame, ledger: DataFrame, digest: str, known: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.operators.skew import SMALL_ROWS
-from tidelake.session import checkpointed
+from tidelake.session import stored
 
 # fixed values: days in each tier
 TIERS = {"hot": 7, "cold": 365, "archive": 3650}
@@ -43,10 +43,11 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     """Every ancestor of the artefacts in ``start`` with its smallest distance.
 
     ``edges`` has ``source`` and ``target``, ``start`` has ``node``. One step per level: edges into
-    the newest nodes, their sources combined in the tasks, minus what is known. Each level is
-    checkpointed, so the plan does not grow.
+    the newest nodes, their sources combined in the tasks, minus what is known. Edges and levels
+    are stored, so a level does not repeat the work before it.
     """
-    frontier = checkpointed(start.select("node").distinct().withColumn("depth", F.lit(0)))
+    edges = stored(edges.select("source", "target"))
+    frontier = stored(start.select("node").distinct().withColumn("depth", F.lit(0)))
     known = frontier
     depth = 0
     while True:
@@ -60,7 +61,7 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
         parents = (
             edges.join(targets, "target", "left_semi").select(F.col("source").alias("node")).distinct()
         )
-        frontier = checkpointed(
+        frontier = stored(
             parents.join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
         )
         known = known.unionByName(frontier)

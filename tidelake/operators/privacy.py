@@ -13,21 +13,34 @@ PATTERNS = {
     "address": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
 }
 
+# text that every match of a kind contains; most texts lack it and need no pattern search
+MARKS = {"email": "@", "phone": "(", "vessel": "IMO"}
 
-def count_pii(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) -> DataFrame:
-    """Add the number of matches per kind."""
-    return df.withColumns({f"n_{n}": F.regexp_count(column, F.lit(p)) for n, p in rules.items()})
 
+def _searched(text: Column, kind: str, found: Column, otherwise: Column) -> Column:
+    mark = MARKS.get(kind)
+    return found if mark is None else F.when(F.contains(text, F.lit(mark)), found).otherwise(otherwise)
 
-def _masked(text: Column, rules: dict[str, str]) -> Column:
-    for name, pattern in rules.items():
-        text = F.regexp_replace(text, pattern, f"[{name.upper()}]")
-    return text
+
+def count_pii(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) -> DataFrame:
+    """Add the number of matches per kind."""
+    text = F.col(column)
+    counts = {
+        f"n_{kind}": F.when(
+            text.isNotNull(), _searched(text, kind, F.regexp_count(text, F.lit(pattern)), F.lit(0))
+        )
+        for kind, pattern in rules.items()
+    }
+    return df.withColumns(counts)
 
 
 def mask_pii(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) -> DataFrame:
     """Replace each match by the name of its kind."""
-    return df.withColumn(column, _masked(F.col(column), rules))
+    for kind, pattern in rules.items():
+        text = F.col(column)
+        masked = F.regexp_replace(text, pattern, f"[{kind.upper()}]")
+        df = df.withColumn(column, _searched(text, kind, masked, text))
+    return df
 
 
 def edge_filter(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) -> DataFrame:
@@ -35,22 +48,25 @@ def edge_filter(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) ->
     return mask_pii(df.filter(F.length(column) > 0), column, rules)
 
 
-def _tokens(text: Column, name: str, pattern: str, salt: str) -> Column:
-    """Each distinct match becomes ``<name:digest>``, the longest first so none cuts another."""
-    matches = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    ordered = F.array_sort(F.transform(matches, lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m"))))
+def _tokens(text: Column, kind: str, matches: Column, salt: str) -> Column:
+    """Each distinct match becomes ``<kind:digest>``, the longest first so none cuts another."""
+    ordered = F.array_sort(
+        F.transform(F.array_distinct(matches), lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m")))
+    )
 
     def swap(done: Column, match: Column) -> Column:
         digest = F.substring(F.sha2(F.concat(F.lit(salt), match["m"]).cast("binary"), 256), 1, 12)
-        return F.replace(done, match["m"], F.concat(F.lit(f"<{name}:"), digest, F.lit(">")))
+        return F.replace(done, match["m"], F.concat(F.lit(f"<{kind}:"), digest, F.lit(">")))
 
     return F.aggregate(ordered, text, swap)
 
 
 def anonymise(df: DataFrame, column: str, salt: str, rules: dict[str, str] = PATTERNS) -> DataFrame:
     """Replace each match by a salted token: equal values stay equal, none can be read back."""
-    for name, pattern in rules.items():
-        df = df.withColumn(column, _tokens(F.col(column), name, pattern, salt))
+    for kind, pattern in rules.items():
+        text = F.col(column)
+        matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        df = df.withColumn(column, _searched(text, kind, _tokens(text, kind, matches, salt), text))
     return df
 
 

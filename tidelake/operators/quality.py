@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelake.operators.skew import ROWS_PER_TASK, attach, quantiles
+from tidelake.operators.skew import ROWS_PER_TASK, attach, join_counted, quantiles
 
 
 def parse_telemetry(df: DataFrame, schema: StructType, column: str = "props") -> DataFrame:
@@ -19,7 +19,7 @@ def parse_telemetry(df: DataFrame, schema: StructType, column: str = "props") ->
 
 def with_metadata(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Add the columns of a dimension table with one row per key; works on a stream too."""
-    return attach(df, dimension, [key], "left")
+    return join_counted(df, dimension, [key], "left")
 
 
 def validate_rows(

@@ -13,23 +13,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidelake.session import checkpointed
+from tidelake.session import stored
 
 ROWS_PER_TASK = 1_000_000
 SHARE_PER_TASK = 1e-5
 SMALL_ROWS = 100_000
 
 
-def attach(df: DataFrame, stats: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join per-group numbers back to the rows.
+def join_counted(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a table that may be small.
 
-    ``stats`` has one row per group. It is computed once and counted; only a counted table of at
-    most SMALL_ROWS rows is broadcast. Beyond that it is a shuffle join, where AQE splits big keys.
+    It is counted first, and only a table of at most SMALL_ROWS rows is broadcast. Beyond that it is a
+    shuffle join, where AQE splits big keys.
     """
-    stats = checkpointed(stats)
-    if stats.count() <= SMALL_ROWS:
-        stats = F.broadcast(stats)
-    return df.join(stats, on, how)
+    if other.count() <= SMALL_ROWS:
+        other = F.broadcast(other)
+    return df.join(other, on, how)
+
+
+def attach(df: DataFrame, stats: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join per-group numbers, one row per group, back to the rows; they are computed once."""
+    return join_counted(df, stored(stats), on, how)
 
 
 def _limit(total: int, rows_per_task: int) -> int:
@@ -44,15 +48,17 @@ def split_by_size(
     At most 1 / SHARE_PER_TASK keys can be big whatever the size of the data, which bounds the
     broadcast of their list.
     """
-    sizes = checkpointed(df.groupBy(*keys).count()) if keys else df.groupBy().count()
-    total = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
+    sizes = df.groupBy(*keys).count()
+    total, largest = sizes.agg(
+        F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
+    ).first()
     limit = _limit(total, rows_per_task)
-    if not keys:
-        return (df, None, 1) if total <= limit else (df.limit(0), df, -(-total // limit))
-    big = sizes.filter(F.col("count") > limit)
-    n_big, rows = big.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
-    if n_big == 0:
+    if largest <= limit:
         return df, None, 1
+    if not keys:
+        return df.limit(0), df, -(-total // limit)
+    big = stored(sizes.filter(F.col("count") > limit))
+    rows = big.agg(F.sum("count")).first()[0]
     names = F.broadcast(big.select(*[F.col(k).alias(f"_big_{k}") for k in keys]))
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in keys]
@@ -67,10 +73,10 @@ def split_by_size(
 def range_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int) -> DataFrame:
     """Add ``_chunk``: chunks follow each other in (keys, order), each about equally big.
 
-    The rows are checkpointed with their chunk number, so that every later use sees the same cut.
+    The rows are stored with their chunk number, so that every later use sees the same cut.
     """
     placed = df.repartitionByRange(max(chunks, 2), *keys, *order)
-    return checkpointed(placed.withColumn("_chunk", F.spark_partition_id()))
+    return stored(placed.withColumn("_chunk", F.spark_partition_id()))
 
 
 def _chunk_window(keys: list[str]) -> WindowSpec:
@@ -226,12 +232,15 @@ def quantiles(
 ) -> DataFrame:
     """Exact interpolating quantiles per group, one column per name in ``probs``.
 
-    Equal values are counted before anything is ordered. The ranks then come from a running total
-    over the distinct values, so no task holds a whole group of rows.
+    Groups that fit a task take Spark's ``percentile``. Otherwise equal values are counted before
+    anything is ordered, and the ranks come from a running total over the distinct values, so no task
+    holds a whole group.
     """
-    counts = checkpointed(
-        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    )
+    df = df.filter(F.col(value).isNotNull()).select(*by, value)
+    if split_by_size(df, by, rows_per_task)[1] is None:
+        found = df.groupBy(*by).agg(F.percentile(value, list(probs.values())).alias("_q"))
+        return found.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
+    counts = stored(df.groupBy(*by, value).agg(F.count("*").alias("_n")))
     ranked = running_total(counts, by, [value], {"_upto": F.col("_n")}, rows_per_task)
     sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_size"))
     ranked = attach(ranked, sizes, by) if by else ranked.withColumn("_size", sizes.select("_size").scalar())

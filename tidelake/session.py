@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,8 @@ RECOMMENDED = {
     # an image row is about 200 KB, so Arrow batches are sized by rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.files.maxPartitionBytes": "64m",
+    # sessions of a busy key are merged in each task before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -50,12 +52,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """``df.checkpoint()`` into the shared folder: cuts lineage, survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to a table in the shared folder, and read from there.
+
+    Cuts the lineage like a checkpoint and survives lost executors, but is computed only once, is
+    columnar, and tells the optimizer its real size.
+    """
+    path = scratch(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidelake.schema import compare_schemas
 
 
 def append(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -11,6 +14,18 @@ def append(df: DataFrame, path: str, files: int | None = None) -> None:
     (df if files is None else df.coalesce(files)).write.mode("append").parquet(path)
 
 
+def append_checked(df: DataFrame, path: str, expected: StructType) -> None:
+    """Append to a table with a declared schema; a breaking difference is an error."""
+    breaking = [c for c in compare_schemas(expected, df.schema) if c[2] == "breaking"]
+    if breaking:
+        raise ValueError(f"rows do not fit the table: {breaking}")
+    fitted = [
+        F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in expected
+    ]
+    append(df.select(*fitted), path)
+
+
 def replace_by_source(
     df: DataFrame, path: str, key: str | list[str], compression: str = "snappy"
 ) -> None:
@@ -28,15 +43,20 @@ def replace_by_source(
     )
 
 
-def record_files(counts: DataFrame, batch: Column, as_of: Column, ledger: str) -> None:
-    """Write a batch's rows of the file ledger; the batch is a partition, so a replay replaces it."""
+def record_files(
+    counts: DataFrame, batch: Column, as_of: Column, ledger: str, files: int | None = None
+) -> None:
+    """Write a batch's rows of the file ledger; the batch is a partition, so a replay replaces it.
+
+    ``files=1`` suits the few rows of one micro-batch.
+    """
     rows = counts.select(
         F.col("source_file").alias("file_path"),
         as_of.alias("processed_at"),
         F.col("n").alias("records_processed"),
         batch.alias("batch_id"),
     )
-    replace_by_source(rows.coalesce(1), ledger, "batch_id")
+    replace_by_source(rows if files is None else rows.coalesce(files), ledger, "batch_id")
 
 
 def record_exports(written: DataFrame, batch: Column, as_of: Column, ledger: str) -> None:
@@ -53,11 +73,19 @@ def record_exports(written: DataFrame, batch: Column, as_of: Column, ledger: str
 
 
 def persist_raw(
-    df: DataFrame, path: str, checkpoint: str, available_now: bool = False, trigger: str | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    trigger: str | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Append a stream to a Parquet table; ``available_now`` takes what is there and ends."""
+    """Append a stream to a table; ``available_now`` takes what is there and ends.
+
+    ``fmt="avro"`` needs Spark's Avro package on the class path.
+    """
     writer = (
-        df.writeStream.format("parquet")
+        df.writeStream.format(fmt)
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -25,7 +25,7 @@ from tidelake.operators.ledger import (
     not_present,
     unprocessed,
 )
-from tidelake.session import checkpointed
+from tidelake.session import stored
 from tidelake.sinks.files import export_files
 from tidelake.sinks.tables import record_exports, record_files, replace_by_source
 from tidelake.sources.files import file_inventory
@@ -82,7 +82,7 @@ def stage_raw(
     worked on once; the counts come from what was written.
     """
     columns = schema.RAW if decoder else StructType([StructField("image", schema.IMAGE)])
-    listed = checkpointed(file_inventory(spark, raw).select(F.col("file_path").alias("source_file")))
+    listed = stored(file_inventory(spark, raw).select(F.col("file_path").alias("source_file")))
     stream = table_stream(spark, raw, columns, files_per_batch).select(
         "image",
         F.col("_metadata.file_path").alias("source_file"),
@@ -93,7 +93,7 @@ def stage_raw(
     def work(batch: DataFrame, number: int) -> None:
         # named after the newest file, not after the clock: a replay gets the same name
         files = batch.groupBy("source_file").agg(F.max("_modified").alias("_modified"))
-        files = checkpointed(files)
+        files = stored(files)
         newest = files.agg(F.max("_modified")).first()[0]
         if newest is None:
             return
@@ -113,7 +113,7 @@ def stage_raw(
         # a batch without a usable row may not have written the folder at all
         written = read_or_empty(spark, staged, STAGED)
         done = written.filter((F.col("batch_id") == name) & F.col("valid"))
-        record_files(file_counts(files, done), name, F.current_timestamp(), ledger)
+        record_files(file_counts(files, done), name, F.current_timestamp(), ledger, files=1)
 
     incremental(stream, work, checkpoint).awaitTermination()
     # files without rows are never seen by the stream, but this run has read all that were listed
@@ -121,7 +121,7 @@ def stage_raw(
     empty = unprocessed(
         listed, known.withColumnRenamed("file_path", "source_file"), "source_file"
     ).withColumn("n", F.lit(0).cast("long"))
-    record_files(checkpointed(empty), F.lit(f"no_rows_{uuid.uuid4().hex}"), F.current_timestamp(), ledger)
+    record_files(stored(empty), F.lit(f"no_rows_{uuid.uuid4().hex}"), F.current_timestamp(), ledger)
 
 
 def label_staged(
@@ -181,7 +181,7 @@ def _fresh(
         if "PATH_NOT_FOUND" not in str(error):
             raise
         there = spark.createDataFrame([], "file_name string")
-    return checkpointed(
+    return stored(
         not_present(named, there).select(*PLACE)
     )
 

@@ -82,8 +82,13 @@ def predicted(scores: Column, classes: Column) -> Column:
 
 
 def ensemble(tables: list[DataFrame], key: str, scores: str = "scores") -> DataFrame:
-    """Mean score vector of several models over the same items."""
+    """Mean score vector of several models over the same items, and the variance between them.
+
+    The items are unique in each table. Class names are taken from the first one.
+    """
     named = [t.select(key, F.col(scores).alias(f"_s{i}")) for i, t in enumerate(tables)]
+    if "classes" in tables[0].columns:
+        named[0] = tables[0].select(key, F.col(scores).alias("_s0"), "classes")
     joined = reduce(lambda a, b: a.join(b, key), named)
     total = reduce(
         lambda a, b: F.zip_with(a, b, lambda x, y: x + y),
@@ -98,8 +103,8 @@ def ensemble(tables: list[DataFrame], key: str, scores: str = "scores") -> DataF
         ],
     )
     mean_spread = F.aggregate(spread, F.lit(0.0), lambda s, x: s + x) / (F.size(spread) * len(tables))
-    return joined.withColumn("scores", mean).withColumn("variance", mean_spread).select(
-        key, "scores", "variance"
+    return joined.withColumn("scores", mean).withColumn("variance", mean_spread).drop(
+        *[f"_s{i}" for i in range(len(tables))]
     )
 
 

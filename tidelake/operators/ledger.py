@@ -15,19 +15,25 @@ def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "file_path") ->
     return files.select(key).distinct().join(ledger.select(key), key, "left_anti")
 
 
-def first_occurrence(df: DataFrame, digest: str, order_by: list[str]) -> DataFrame:
-    """One row per content: its first place in ``order_by`` and how many copies there are.
+def first_occurrence(
+    df: DataFrame, digest: str, order_by: list[str], carry: list[str] | None = None
+) -> DataFrame:
+    """One row per content: its first place in ``order_by``, its number of copies, and the first
+    row's ``carry`` columns (small ones; pixels are fetched by place afterwards).
 
     A minimum is combined inside each task before the shuffle, so a content that fills a third of
-    the table costs one row per task. A single ordering column keeps the hash aggregation.
+    the table costs one row per task. A single numeric ordering column keeps the hash aggregation.
     """
-    place = F.min(order_by[0]) if len(order_by) == 1 else F.min(F.struct(*order_by))
-    counted = df.filter(F.col(digest).isNotNull()).groupBy(digest).agg(
-        place.alias("_first"), F.count("*").alias("copies")
-    )
+    carry = carry or []
+    # a null digest counts no copies; testing that after the grouping hashes each row only once
+    copies = F.count(digest).alias("copies")
     if len(order_by) == 1:
-        return counted.withColumnRenamed("_first", order_by[0])
-    return counted.select(digest, "_first.*", "copies")
+        first = [F.min_by(c, order_by[0]).alias(c) for c in carry]
+        found = df.groupBy(digest).agg(F.min(order_by[0]).alias(order_by[0]), *first, copies)
+        return found.filter("copies > 0")
+    place = F.min(F.struct(*order_by, *carry)).alias("_first")
+    found = df.groupBy(digest).agg(place, copies).filter("copies > 0")
+    return found.select(digest, "_first.*", "copies")
 
 
 def dedup_content(df: DataFrame, digest: str, order_by: list[str]) -> DataFrame:

@@ -78,11 +78,9 @@ def dedup_rows(spark, sf_dir):
 )
 def new_since_ledger(spark, sf_dir):
     rows = content(spark, sf_dir)
-    first = ledger.first_occurrence(rows, "content_hash", ["doc_id"]).drop("copies")
+    first = ledger.first_occurrence(rows, "content_hash", ["doc_id"], carry=["image_size"])
     new = ledger.new_content(first, known(spark, sf_dir), "content_hash")
-    return rows.join(new.select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", "content_hash", "image_size"
-    )
+    return new.select("doc_id", "content_hash", "image_size")
 
 
 @query(

@@ -102,10 +102,8 @@ def horizon_row(spark, sf_dir):
            round(avg(var), 8) as variance from en group by vec_id"""
 )
 def ensemble(spark, sf_dir):
-    even, odd = _scored(spark, sf_dir, 0), _scored(spark, sf_dir, 1)
-    mean = labelling.ensemble([even, odd], "vec_id")
-    classes = even.select("vec_id", "classes")
-    return mean.join(classes, "vec_id").select(
+    models = [_scored(spark, sf_dir, rest) for rest in (0, 1)]
+    return labelling.ensemble(models, "vec_id").select(
         "vec_id",
         labelling.predicted(F.col("scores"), F.col("classes")).alias("label"),
         F.round(F.array_max("scores"), 6).alias("confidence"),
@@ -456,16 +454,16 @@ def _downtime(spark, sf_dir):
     return business.downtime(errors, "user_id", "ts", 12 * 3600)
 
 
-@query(f"with {_DOWN} select user_id, session_start, last_event, events, round(seconds, 4) as seconds from dn")
+@query(f"with {_DOWN} select user_id, session_start, last_event, events, cast(round(seconds * 1e6::double) as bigint) as micros from dn")
 def downtime_sessions(spark, sf_dir):
     found = _downtime(spark, sf_dir)
     return found.withColumns(
         {
             "session_start": F.col("session_start").cast("timestamp_ntz"),
             "last_event": F.col("last_event").cast("timestamp_ntz"),
-            "seconds": F.round("seconds", 4),
+            "micros": F.round(F.col("seconds") * 1e6).cast("long"),
         }
-    )
+    ).drop("seconds")
 
 
 @query(

@@ -117,43 +117,43 @@ def random_crop(stack, size, draws):
     return np.concatenate(out)
 
 
-def _codes(stack):
-    """Each value with its picture and channel folded in, for one count over the whole stack."""
-    n, _, _, channels = stack.shape
-    return stack + 256 * np.arange(n * channels).reshape(n, 1, 1, channels)
+def _histograms(stack):
+    """Counts per level of each picture and channel."""
+    return np.array(
+        [[np.bincount(p[..., c].ravel(), minlength=256) for c in range(p.shape[2])] for p in stack]
+    )
 
 
-def _histograms(stack, codes):
-    n, _, _, channels = stack.shape
-    counts = np.bincount(codes.ravel(), minlength=256 * n * channels)
-    return counts.reshape(n * channels, 256)
+def _look_up(stack, tables):
+    """Replace each level by its entry in the table of its picture and channel."""
+    out = np.empty_like(stack)
+    for i, picture in enumerate(stack):
+        for c in range(picture.shape[2]):
+            out[i, ..., c] = tables[i, c].take(picture[..., c])
+    return out
 
 
 def autocontrast(stack, cutoff):
     """Stretch each channel after dropping ``cutoff`` percent of its pixels at either end."""
-    codes = _codes(stack)
-    histograms = _histograms(stack, codes)
-    pixels = stack.shape[1] * stack.shape[2]
-    cut = pixels * cutoff // 100
-    low = (histograms.cumsum(1) > cut).argmax(1)[:, None]
-    high = 255 - (histograms[:, ::-1].cumsum(1) > cut).argmax(1)[:, None]
+    counts = _histograms(stack)
+    cut = stack.shape[1] * stack.shape[2] * cutoff // 100
+    low = (counts.cumsum(-1) > cut).argmax(-1)[..., None]
+    high = 255 - (counts[..., ::-1].cumsum(-1) > cut).argmax(-1)[..., None]
     scale = 255.0 / np.maximum(high - low, 1)
-    levels = np.arange(256)[None]
+    levels = np.arange(256)
     table = np.where(high > low, truncate(levels * scale + -low * scale), levels)
-    return table.astype(np.uint8).ravel()[codes]
+    return _look_up(stack, table.astype(np.uint8))
 
 
 def equalize(stack):
     """Histogram equalisation per channel; the brightest level does not count for the step."""
-    codes = _codes(stack)
-    histograms = _histograms(stack, codes)
-    brightest = 255 - (histograms[:, ::-1] > 0).argmax(1)
-    rest = histograms.sum(1) - histograms[np.arange(len(histograms)), brightest]
-    step = (rest // 255)[:, None]
-    below = histograms.cumsum(1) - histograms
-    levels = np.arange(256)[None]
-    table = np.where(step > 0, (step // 2 + below) // np.maximum(step, 1), levels)
-    return np.minimum(table, 255).astype(np.uint8).ravel()[codes]
+    counts = _histograms(stack)
+    brightest = 255 - (counts[..., ::-1] > 0).argmax(-1)[..., None]
+    rest = counts.sum(-1, keepdims=True) - np.take_along_axis(counts, brightest, -1)
+    step = rest // 255
+    below = counts.cumsum(-1) - counts
+    table = np.where(step > 0, (step // 2 + below) // np.maximum(step, 1), np.arange(256))
+    return _look_up(stack, np.minimum(table, 255).astype(np.uint8))
 
 
 def _middle(a, b, c):
@@ -189,9 +189,17 @@ def luma(stack):
     return (red + green + blue + 32768) >> 16
 
 
+def _by_channel(stack, change):
+    """Work on one channel of the whole stack at a time: long runs of equal work."""
+    out = np.empty(stack.shape, np.uint8)
+    for c in range(stack.shape[3]):
+        out[..., c] = truncate(change(stack[..., c], c))
+    return out
+
+
 def saturation(stack, factor):
-    grey = luma(stack)[..., None].astype(np.float32)
-    return truncate(grey + np.float32(factor) * (stack - grey))
+    grey = luma(stack).astype(np.float32)
+    return _by_channel(stack, lambda plane, c: grey + np.float32(factor) * (plane - grey))
 
 
 def white_balance(stack):
@@ -199,14 +207,18 @@ def white_balance(stack):
     means = stack.mean(axis=(1, 2), dtype=np.float64)
     target = means.sum(1, keepdims=True) / means.shape[1]
     factor = np.where(means > 0, target / np.where(means > 0, means, 1), 1.0)
-    return truncate(stack * factor[:, None, None, :])
+    return _by_channel(stack, lambda plane, c: plane * factor[:, c, None, None])
 
 
 def colour_norm(stack, mean=IMAGENET_MEAN, std=IMAGENET_STD):
     """Normalise and undo it again, which only truncates."""
     mean, std = np.array(mean), np.array(std)
-    unit = stack.astype(np.float32) / np.float32(255)
-    return truncate(((unit - mean) / std * std + mean) * 255)
+
+    def change(plane, c):
+        unit = plane.astype(np.float32) / np.float32(255)
+        return ((unit - mean[c]) / std[c] * std[c] + mean[c]) * 255
+
+    return _by_channel(stack, change)
 
 
 def mirror(stack, chosen):
@@ -227,22 +239,20 @@ def rotate(stack, degrees):
         cos, sin = np.cos(angle), np.sin(angle)
         from_x, from_y = cos * x - sin * y + width / 2, sin * x + cos * y + height / 2
         outside = (from_x < 0) | (from_x >= width) | (from_y < 0) | (from_y >= height)
-        from_x, from_y = (from_x - 0.5).ravel(), (from_y - 0.5).ravel()
+        from_x, from_y = from_x - 0.5, from_y - 0.5
         left, top = np.floor(from_x), np.floor(from_y)
-        dx, dy = (from_x - left)[:, None], (from_y - top)[:, None]
+        dx, dy = from_x - left, from_y - top
         left, top = left.astype(np.int32), top.astype(np.int32)
         x0, x1 = np.clip(left, 0, width - 1), np.clip(left + 1, 0, width - 1)
         y0, y1 = np.clip(top, 0, height - 1) * width, np.clip(top + 1, 0, height - 1) * width
-        picture = stack[i].reshape(-1, channels).astype(np.float64)
-        above = picture.take(y0 + x0, 0)
-        above += (picture.take(y0 + x1, 0) - above) * dx
-        below = picture.take(y1 + x0, 0)
-        below += (picture.take(y1 + x1, 0) - below) * dx
-        below -= above
-        below *= dy
-        above += below
-        out[i] = truncate(above).reshape(height, width, channels)
-        out[i][outside] = 0
+        corners = [y0 + x0, y0 + x1, y1 + x0, y1 + x1]
+        for c in range(channels):
+            plane = stack[i, ..., c].astype(np.int16).ravel()
+            a, b, p, q = (plane.take(place) for place in corners)
+            above = a + (b - a) * dx
+            level = above + ((p + (q - p) * dx) - above) * dy
+            level[outside] = 0
+            out[i, ..., c] = truncate(level)
     return out
 
 
@@ -268,4 +278,7 @@ def overlay(stack, masks, alpha):
         masks = resize_nearest(masks, *stack.shape[1:3])
     largest = np.maximum(masks.max(axis=(1, 2, 3), keepdims=True), 1)
     place = np.minimum((masks / largest * 256).astype(int), 255)[..., 0]
-    return truncate((1 - alpha) * stack + alpha * jet_colours()[place])
+    colours = jet_colours()
+    return _by_channel(
+        stack, lambda plane, c: (1 - alpha) * plane + alpha * colours[:, c].take(place)
+    )

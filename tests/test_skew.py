@@ -128,6 +128,15 @@ def test_hot_content_is_counted_in_the_tasks(spark):
     assert ledger.dedup_content(rows, "h", ["id"]).count() == 2001
 
 
+@pytest.mark.parametrize("small_rows", [0, 150, 10_000])
+def test_dedup_rows_whatever_is_broadcast(spark, small_rows):
+    """Both lists long, only the copies short, both short; null contents never stay."""
+    h = F.when(F.col("id") % 10 == 0, F.lit("hot")).when(F.col("id") != 7, F.col("id").cast("string"))
+    rows = spark.range(0, 1000, 1, 4).select("id", h.alias("h"), F.lit("payload").alias("image"))
+    kept = ledger.dedup_content(rows, "h", ["id"], small_rows)
+    assert sorted(r["id"] for r in kept.collect()) == [0] + [i for i in range(1000) if i % 10 and i != 7]
+
+
 def test_top_per_group_limits_before_the_shuffle(events):
     top = skew.top_per_group(events, ["event_type"], [F.col("value").desc(), F.col("event_id")], 3)
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()

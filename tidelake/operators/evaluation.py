@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidelake.operators.skew import ROWS_PER_TASK, neighbours
 
 
-def _features(df: DataFrame, vector: str, label: str) -> DataFrame:
+def with_features(df: DataFrame, vector: str, label: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>"))).withColumn(
         "target", F.col(label).cast("double")
     )
@@ -19,7 +19,7 @@ def _features(df: DataFrame, vector: str, label: str) -> DataFrame:
 
 def train_light(df: DataFrame, vector: str, label: str, steps: int = 20, penalty: float = 0.01):
     """Multinomial logistic regression; returns the model and its predictions."""
-    rows = _features(df, vector, label)
+    rows = with_features(df, vector, label)
     learner = LogisticRegression(
         featuresCol="features", labelCol="target", family="multinomial", maxIter=steps, regParam=penalty
     )
@@ -40,7 +40,7 @@ def tune(df: DataFrame, vector: str, label: str, penalties: list[float], folds:
         seed=7,
         parallelism=len(penalties),
     )
-    return search.fit(_features(df, vector, label))
+    return search.fit(with_features(df, vector, label))
 
 
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:

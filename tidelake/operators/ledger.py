@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.functions.content import export_name
-from tidelake.operators.skew import ROWS_PER_TASK, join_counted, numbered
+from tidelake.operators.skew import ROWS_PER_TASK, SMALL_ROWS, join_counted, numbered
+from tidelake.session import stored
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "file_path") -> DataFrame:
@@ -36,13 +37,24 @@ def first_occurrence(
     return found.select(digest, "_first.*", "copies")
 
 
-def dedup_content(df: DataFrame, digest: str, order_by: list[str]) -> DataFrame:
+def dedup_content(
+    df: DataFrame, digest: str, order_by: list[str], small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """The first row of each content. ``order_by`` must name each row uniquely.
 
-    Only digests and row places are grouped. The rows, with their pixels, meet the kept places in
-    one join on the unique place, which no hot content can skew.
+    Only digests and row places are grouped. The rows, with their pixels, then meet the places to
+    keep, or the places to drop when only those are few enough to be broadcast: the pixels stay
+    where they were read. With many of both it is a join on the unique place, which no hot content
+    can skew.
     """
-    return df.join(first_occurrence(df, digest, order_by).select(*order_by), order_by, "left_semi")
+    first = stored(first_occurrence(df, digest, order_by))
+    kept, rows = first.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    first = first.select(*order_by)
+    if kept > small_rows >= rows - kept:
+        known = df.filter(F.col(digest).isNotNull())
+        copies = known.select(*order_by).join(first, order_by, "left_anti")
+        return known.join(F.broadcast(copies), order_by, "left_anti")
+    return join_counted(df, first, order_by, "left_semi", small_rows)
 
 
 def keep_rows(df: DataFrame, places: DataFrame, order_by: list[str]) -> DataFrame:

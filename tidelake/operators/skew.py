@@ -20,13 +20,15 @@ SHARE_PER_TASK = 1e-5
 SMALL_ROWS = 100_000
 
 
-def join_counted(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def join_counted(
+    df: DataFrame, other: DataFrame, on: list[str], how: str = "inner", small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Join a table that may be small.
 
-    It is counted first, and only a table of at most SMALL_ROWS rows is broadcast. Beyond that it is a
-    shuffle join, where AQE splits big keys.
+    It is counted first, and only a table of at most ``small_rows`` rows is broadcast. Beyond that it
+    is a shuffle join, where AQE splits big keys.
     """
-    if other.count() <= SMALL_ROWS:
+    if other.count() <= small_rows:
         other = F.broadcast(other)
     return df.join(other, on, how)
 

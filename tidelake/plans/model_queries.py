@@ -11,7 +11,7 @@ from tidelake.operators import business, evaluation, features, images, labelling
 from tidelake.operators.profiling import cohort
 from tidelake.plans.catalogue import query, table
 from tidelake.plans.pixel_queries import GREY, grey8
-from tidelake.streaming.windows import windowed_metric
+from tidelake.streaming import windows
 
 
 @query(
@@ -253,7 +253,7 @@ def train_light(spark, sf_dir):
 def tune(spark, sf_dir):
     """Predictions of the best model of a penalty grid."""
     search = evaluation.tune(_vectors(spark, sf_dir), "embedding", "label", [0.01, 0.1], folds=2, steps=5)
-    rows = evaluation._features(_vectors(spark, sf_dir), "embedding", "label")
+    rows = evaluation.with_features(_vectors(spark, sf_dir), "embedding", "label")
     best = search.bestModel.transform(rows).select("vec_id", "label", "prediction")
     return best.withColumn("penalty", F.lit(search.bestModel.getRegParam()))
 
@@ -383,10 +383,10 @@ def monitor(spark, sf_dir):
     """Error rate per day, sliding by half a day, against the overall rate."""
     events = table(spark, sf_dir, "events").select("ts", "event_type")
     rate = F.count_if(F.col("event_type") == "error") / F.count("*")
-    windows = windowed_metric(
+    days = windows.monitor(
         events, "ts", "1 day", {"events": F.count("*"), "error_rate": rate}, slide="12 hours"
     )
-    found = evaluation.baseline_delta(windows, "error_rate", events.agg(rate).scalar())
+    found = evaluation.baseline_delta(days, "error_rate", events.agg(rate).scalar())
     return found.select(
         "window_start",
         "window_end",

@@ -13,8 +13,7 @@ from tidelake.session import scratch
 from tidelake.sinks.tables import append, persist_raw, replace_by_source
 from tidelake.sources.files import file_inventory, read_images, read_required, select_path, with_source
 from tidelake.sources.streams import message_image, table_stream
-from tidelake.streaming import jobs
-from tidelake.streaming.windows import sessions, unique_within, windowed_metric
+from tidelake.streaming import jobs, windows
 
 
 def _stream(spark, sf_dir, name, **options):
@@ -80,7 +79,7 @@ def stream_new_content(spark, sf_dir):
 def stream_windows(spark, sf_dir):
     """Windows that the watermark has closed."""
     events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    metric = windowed_metric(
+    metric = windows.monitor(
         events,
         "ts",
         "6 hours",
@@ -115,7 +114,7 @@ def stream_sessions(spark, sf_dir):
         .filter("event_type = 'error'")
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
-    found = sessions(errors, "user_id", "ts", "12 hours", "1 hour")
+    found = windows.sessions(errors, "user_id", "ts", "12 hours", "1 hour")
     done = _landed(spark, found, scratch(spark, "sessions"))
     return done.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
@@ -130,7 +129,7 @@ def stream_unique(spark, sf_dir):
     for _ in range(2):
         append(events, f"{folder}/in", files=1)
     stream = table_stream(spark, f"{folder}/in", events.schema, files_per_batch=1)
-    kept = unique_within(stream, ["event_id"], "ts", "2 hours")
+    kept = windows.unique_within(stream, ["event_id"], "ts", "2 hours")
     return _landed(spark, kept, folder).select("event_id", "user_id", "event_type")
 
 

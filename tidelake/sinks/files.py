@@ -12,6 +12,20 @@ from pyspark.sql import DataFrame
 WRITTEN = "content_hash string, local_path string, source_file string, image_size long"
 
 
+def missing_files(df: DataFrame, folder: str, name: str = "file_name") -> DataFrame:
+    """Rows whose file does not exist in ``folder`` yet.
+
+    Each task looks up its own names on the shared path; the folder is never listed as a whole.
+    """
+
+    def absent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(name).to_pylist()
+            yield batch.filter(pa.array([not os.path.exists(os.path.join(folder, n)) for n in names]))
+
+    return df.mapInArrow(absent, df.schema)
+
+
 def export_files(
     df: DataFrame,
     folder: str,

@@ -22,11 +22,10 @@ from tidelake.operators.ledger import (
     first_occurrence,
     keep_rows,
     new_content,
-    not_present,
     unprocessed,
 )
 from tidelake.session import stored
-from tidelake.sinks.files import export_files
+from tidelake.sinks.files import export_files, missing_files
 from tidelake.sinks.tables import record_exports, record_files, replace_by_source
 from tidelake.sources.files import file_inventory
 from tidelake.sources.streams import table_stream
@@ -175,15 +174,7 @@ def _fresh(
     named = new_content(first, known, "content_hash", "file_hash").withColumn(
         "file_name", export_name(F.col("content_hash"), prefix, digits)
     )
-    try:
-        there = file_inventory(spark, folder, ".jpg")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        there = spark.createDataFrame([], "file_name string")
-    return stored(
-        not_present(named, there).select(*PLACE)
-    )
+    return stored(missing_files(named.select(*PLACE, "file_name"), folder).select(*PLACE))
 
 
 def export_images(

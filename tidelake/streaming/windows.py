@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def windowed_metric(
+def monitor(
     df: DataFrame,
     ts: str,
     size: str,

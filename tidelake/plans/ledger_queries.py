@@ -213,7 +213,7 @@ def export_names(spark, sf_dir):
            regexp_matches(lower(path), '\\.(jpg|jpeg|png)$') as is_image,
            blob is not null as not_null,
            coalesce(octet_length(encode(blob)) > 0, false) as not_empty,
-           cast(octet_length(encode(blob)) as bigint) as image_size
+           coalesce(cast(octet_length(encode(blob)) as bigint), -1) as image_size
     from p
     """
 )
@@ -231,7 +231,7 @@ def image_predicates(spark, sf_dir):
         is_image(F.col("path")).alias("is_image"),
         is_present(F.col("image")).alias("not_null"),
         is_present(F.col("image"), allow_empty=False).alias("not_empty"),
-        "image_size",
+        F.coalesce("image_size", F.lit(-1)).alias("image_size"),
     )
 
 

@@ -19,14 +19,15 @@ from tidelake.streaming import windows
         sum(cast('0x' || substr(md5(event_id || '|' || user_id || '|' || event_type), 1, 12) as bigint)) as s
         from events group by all),
     v as (select event_type, day, rows, substr(md5(rows || '|' || s), 1, 12) as version from f)
-    select event_type, max(day) as day, arg_max(rows, day) as rows, arg_max(version, day) as version
+    select event_type, cast(max(day) as varchar) as day, arg_max(rows, day) as rows, arg_max(version, day) as version
     from v group by event_type"""
 )
 def feature_registry(spark, sf_dir):
     """Latest version of each feature table; a new version per day."""
     events = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
     versions = features.feature_version(events, ["event_id", "user_id", "event_type"], ["event_type", "day"])
-    return features.latest(versions, ["event_type"], ["day"])
+    newest = features.latest(versions, ["event_type"], ["day"])
+    return newest.withColumn("day", F.col("day").cast("string"))
 
 
 @query(
@@ -41,14 +42,22 @@ def inference_view(spark, sf_dir):
 @query(
     """with l as (select user_id, event_id, ts, value from events where event_type = 'purchase'),
             f as (select user_id, event_id, ts, value from events where event_type = 'view')
-    select l.user_id, l.event_id, l.ts, l.value, f.event_id as f_event_id, f.ts as f_ts, f.value as f_value
+    select l.user_id, l.event_id, l.ts, l.value, coalesce(f.event_id, -1) as f_event_id,
+           coalesce(f.ts, l.ts) as f_ts, coalesce(f.value, -1) as f_value
     from l asof left join f on l.user_id = f.user_id and l.ts >= f.ts"""
 )
 def training_view_asof(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", "event_type")
     purchases = events.filter("event_type = 'purchase'").drop("event_type")
     views = events.filter("event_type = 'view'").drop("event_type")
-    return features.as_of_join(purchases, views, "user_id", "ts", "event_id", "event_id")
+    view = features.as_of_join(purchases, views, "user_id", "ts", "event_id", "event_id")
+    return view.withColumns(
+        {
+            "f_event_id": F.coalesce("f_event_id", F.lit(-1)),
+            "f_ts": F.coalesce("f_ts", "ts"),
+            "f_value": F.coalesce("f_value", F.lit(-1.0)),
+        }
+    )
 
 
 def _vectors(spark, sf_dir) -> DataFrame:
@@ -230,9 +239,9 @@ def feedback_merge(spark, sf_dir):
             lag(role) over w as old_role, lag(cast(length(text) > 500 as varchar)) over w as old_long,
             row_number() over w as rn
             from conversations window w as (partition by conv_id order by turn, md5(text)))
-    select conv_id, turn, 'role' as "column", old_role as old, role as new from c
+    select conv_id, turn, 'role' as "column", coalesce(old_role, '') as old, role as new from c
     where rn = 1 or old_role <> role
-    union all select conv_id, turn, 'long_text', old_long, long_text from c
+    union all select conv_id, turn, 'long_text', coalesce(old_long, ''), long_text from c
     where rn = 1 or old_long <> long_text"""
 )
 def audit_trail(spark, sf_dir):
@@ -240,7 +249,7 @@ def audit_trail(spark, sf_dir):
         "conv_id", "turn", F.md5("text").alias("entry"), "role", (F.length("text") > 500).alias("long_text")
     )
     changes = review.audit_changes(log, "conv_id", ["turn", "entry"], ["role", "long_text"])
-    return changes.drop("entry")
+    return changes.drop("entry").withColumn("old", F.coalesce("old", F.lit("")))
 
 
 @query()
@@ -304,7 +313,7 @@ def shadow(spark, sf_dir):
 @query(
     f"""with {_BEST}, m as (select half, avg(cast(label = predicted as integer)) as acc, avg(confidence) as conf
         from b group by half)
-    select 2 as metrics, cast(cast(c.acc - p.acc >= 0.0 as integer) + cast(c.conf - p.conf >= -0.05 as integer) as bigint)
+    select cast(2 as bigint) as metrics, cast(cast(c.acc - p.acc >= 0.0 as integer) + cast(c.conf - p.conf >= -0.05 as integer) as bigint)
                as passed, c.acc - p.acc >= 0.0 and c.conf - p.conf >= -0.05 as promote
     from m c join m p on c.half = 1 and p.half = 0"""
 )

@@ -432,7 +432,7 @@ def overlay(spark, sf_dir):
 
 @query(
     f"""with {GREY}, {MASK.format(source='px')}
-        select 'vec' || (image_id // 100) as source_file, image_id as row_index, sum(m) as mask_sum
+        select 'vec' || (image_id // 100) as source_file, image_id as row_index, cast(sum(m) as bigint) as mask_sum
         from mask group by all"""
 )
 def pair_masks_apart(spark, sf_dir):

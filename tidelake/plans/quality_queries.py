@@ -36,13 +36,13 @@ _MIXED = """case event_id % 10 when 0 then substr(props, 1, length(props) - 1) w
     select event_id, case when p is null then 'absent' when not json_valid(p) then 'unparsable'
         when json_extract(p, '$.k') is null then 'missing field'
         when json_type(p, '$.k') not in ('UBIGINT', 'BIGINT') then 'wrong type' else 'ok' end as status,
-        case when json_valid(p) then try_cast(json_extract_string(p, '$.k') as bigint) end as k
+        coalesce(case when json_valid(p) then try_cast(json_extract_string(p, '$.k') as bigint) end, -1) as k
     from e"""
 )
 def schema_validate(spark, sf_dir):
     mixed = table(spark, sf_dir, "events").withColumn("props", F.expr(_MIXED))
     checked = quality.validate_rows(mixed, PROPS)
-    return checked.select("event_id", "status", F.col("parsed.k").alias("k"))
+    return checked.select("event_id", "status", F.coalesce("parsed.k", F.lit(-1)).alias("k"))
 
 
 @query(
@@ -316,13 +316,14 @@ def pseudonyms(spark, sf_dir):
 @query(
     """select 'loader' as actor, 'documents' as job, source, count(*) as rows, timestamp '2024-02-01' as at
        from documents group by source
-       union all select 'labeller', 'labels', null, count(*), timestamp '2024-02-01' from labels"""
+       union all select 'labeller', 'labels', 'all', count(*), timestamp '2024-02-01' from labels"""
 )
 def compliance_audit(spark, sf_dir):
     as_of = F.lit("2024-02-01").cast("timestamp_ntz")
     loads = privacy.audit(table(spark, sf_dir, "documents"), "documents", "loader", as_of, ["source"])
     labels = privacy.audit(table(spark, sf_dir, "labels"), "labels", "labeller", as_of)
-    return loads.unionByName(labels, allowMissingColumns=True)
+    both = loads.unionByName(labels, allowMissingColumns=True)
+    return both.withColumn("source", F.coalesce("source", F.lit("all")))
 
 
 @query(

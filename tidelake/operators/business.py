@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.operators.skew import ROWS_PER_TASK, neighbours, running_total
+from tidelake.operators.skew import ROWS_PER_TASK, neighbours, running_total, split_by_size
 
 
 def safety_index(
@@ -41,6 +41,8 @@ def downtime(
     slots = df.groupBy(key, slot.alias("_slot")).agg(
         F.min(micros).alias("_from"), F.max(micros).alias("_to"), F.count("*").alias("_n")
     )
+    if split_by_size(slots, [key], rows_per_task)[1] is None:
+        rows_per_task = None
     seen = neighbours(
         slots, [key], ["_slot"], 1, 0, {"_before": lambda w: F.lag("_to").over(w)}, rows_per_task
     )

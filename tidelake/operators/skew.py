@@ -43,13 +43,17 @@ def _limit(total: int, rows_per_task: int) -> int:
 
 
 def split_by_size(
-    df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: list[str], rows_per_task: int | None = ROWS_PER_TASK
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """(rows of ordinary keys, rows of big keys or None, number of chunks for the latter).
 
+    ``rows_per_task=None`` says that the keys have been counted and none is big.
+
     At most 1 / SHARE_PER_TASK keys can be big whatever the size of the data, which bounds the
     broadcast of their list.
     """
+    if rows_per_task is None:
+        return df, None, 1
     sizes = df.groupBy(*keys).count()
     total, largest = sizes.agg(
         F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
@@ -108,7 +112,7 @@ def running_total(
     keys: list[str],
     order: list[str],
     totals: dict[str, Column],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add running sums (this row included) per key in the given total order."""
     plain, big, chunks = split_by_size(df, keys, rows_per_task)
@@ -181,7 +185,7 @@ def neighbours(
     before: int,
     after: int,
     columns: dict[str, Callable[[WindowSpec], Column]],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 

@@ -104,6 +104,16 @@ def test_operators_agree_with_their_plain_path(events):
     both(lambda n: ledger.file_parts(files, "file_path", 10, n))
 
 
+@pytest.mark.parametrize("rows_per_task", [1, skew.ROWS_PER_TASK])
+def test_as_of_ties_and_gaps(spark, rows_per_task):
+    """No earlier feature, a feature at the same instant, two features at one instant."""
+    labels = spark.createDataFrame([("u", 5, 1), ("u", 10, 2), ("u", 1, 3), ("v", 9, 4)], "k string, t int, id int")
+    features_at = [("u", 4, 7), ("u", 10, 8), ("u", 10, 9), ("u", 11, 10), ("v", 10, 11)]
+    known = spark.createDataFrame(features_at, "k string, t int, id int")
+    joined = features.as_of_join(labels, known, "k", "t", "id", "id", rows_per_task)
+    assert {r["id"]: r["f_id"] for r in joined.collect()} == {1: 7, 2: 9, 3: None, 4: None}
+
+
 def test_downtime_is_session_window(spark):
     """A pause of exactly the gap, just below and just above it."""
     seconds = [0, 10, 20.000001, 29.999999, 40, 50.000002, 70]

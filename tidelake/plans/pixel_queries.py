@@ -473,6 +473,18 @@ def channel_means(spark, sf_dir):
     )
 
 
+@query(
+    f"""with {RGB}, l as (select image_id, x, y, (sum(v * case c when 0 then 19595 when 1 then 38470 else 7471 end)
+            + 32768) // 65536 as g from rgb group by all)
+        select image_id, cast(y as integer) as row, round(avg(g), 6) as level from l group by all"""
+)
+def px_grey_luma(spark, sf_dir):
+    """Mean grey level of each picture row."""
+    profiles = images.row_profile(rgb8(spark, sf_dir))
+    rows = profiles.select("image_id", F.posexplode("profile").alias("row", "level"))
+    return rows.withColumn("level", F.round("level", 6))
+
+
 @query()
 def standardise(spark, sf_dir):
     """The whole default chain at the default size."""

@@ -147,7 +147,9 @@ def test_dedup_rows_whatever_is_broadcast(spark, small_rows):
     assert sorted(r["id"] for r in kept.collect()) == [0] + [i for i in range(1000) if i % 10 and i != 7]
 
 
-def test_top_per_group_limits_before_the_shuffle(events):
-    top = skew.top_per_group(events, ["event_type"], [F.col("value").desc(), F.col("event_id")], 3)
+def test_top_per_group_limits_before_the_shuffle(events, monkeypatch):
+    top = skew.top_per_group(events, ["event_type"], ["value", "event_id"], 3)
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     assert top.count() == 15
+    monkeypatch.setattr(skew, "GROUP_LIMIT", 2)
+    same(top, skew.top_per_group(events, ["event_type"], ["value", "event_id"], 3, TINY))

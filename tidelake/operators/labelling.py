@@ -125,7 +125,7 @@ def confidence(df: DataFrame, scores: str = "scores") -> DataFrame:
 
 def hard_examples(df: DataFrame, by: str, margin: str, key: str, k: int) -> DataFrame:
     """The ``k`` rows with the smallest lead per class."""
-    return top_per_group(df, [by], [F.col(margin).asc(), F.col(key).asc()], k)
+    return top_per_group(df, [by], [margin, key], k)
 
 
 def low_confidence(df: DataFrame, limit: float, confidence: str = "confidence") -> DataFrame:

@@ -18,6 +18,7 @@ from tidelake.session import stored
 ROWS_PER_TASK = 1_000_000
 SHARE_PER_TASK = 1e-5
 SMALL_ROWS = 100_000
+GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
 
 
 def join_counted(
@@ -273,11 +274,16 @@ def quantiles(
     )
 
 
-def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
-    """First ``k`` rows per group. Spark keeps ``k`` rows per task and group before the shuffle."""
+def top_per_group(
+    df: DataFrame, by: list[str], order: list[str], k: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """First ``k`` rows per group in ascending order, with their ``rank``.
+
+    For a small ``k`` Spark keeps ``k`` rows per task and group before the shuffle. Beyond its limit
+    for that, the rows of a big group are numbered chunk by chunk.
+    """
+    if k > GROUP_LIMIT:
+        ranked = numbered(df, by, order, "rank", rows_per_task)
+        return ranked.withColumn("rank", F.col("rank").cast("int")).filter(F.col("rank") <= k)
     window = Window.partitionBy(*by).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") <= k)
-        .withColumnRenamed("_rank", "rank")
-    )
+    return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)

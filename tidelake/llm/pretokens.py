@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import regex
@@ -18,14 +19,19 @@ UNSURE = regex.compile(f"[{NEWER}\U00010000-\U0010ffff]")
 
 split = regex.compile(PATTERN).findall
 
-#: Entries of a worker's cache; a full cache starts anew from its fixed part.
-CACHE_ENTRIES = 600_000
+#: A blank, a space, and a blank or the end: only there can a pre-token hold a space further on than
+#: at its start. Any other text may be cut before every space.
+RUN = re.compile(r" (?<=\s )(?:\s|\Z)")
+
+#: Entries of a worker's caches; a full cache starts anew from its fixed part.
+WORD_ENTRIES = 400_000
+TOKEN_ENTRIES = 200_000
 
 
 class Memo(dict):
     """Pre-token -> value. A miss is computed and kept; the fixed part stays when the cache is full."""
 
-    def __init__(self, fixed: dict, compute: Callable, limit: int = CACHE_ENTRIES):
+    def __init__(self, fixed: dict, compute: Callable, limit: int):
         super().__init__(fixed)
         self._fixed, self._compute, self._limit = fixed, compute, limit
 
@@ -38,6 +44,32 @@ class Memo(dict):
         return value
 
 
+class Pieces:
+    """Combines what ``compute`` gives for each pre-token of a text, by ``join``.
+
+    Two caches: of words between two spaces, which spares most of the splitting, and of pre-tokens.
+    """
+
+    def __init__(self, compute: Callable, join: Callable, fixed: dict | None = None):
+        fixed = fixed or {}
+        tokens = Memo(fixed, compute, TOKEN_ENTRIES)
+        self._token = tokens.__getitem__
+        self._join = join
+
+        def word(text: str):
+            parts = split(" " + text)
+            return compute(parts[0]) if len(parts) == 1 else join(map(self._token, parts))
+
+        known = {t[1:]: v for t, v in fixed.items() if len(split(t)) == 1 and t[:1] == " " and len(t) > 1}
+        self._word = Memo(known, word, WORD_ENTRIES).__getitem__
+
+    def of(self, text: str):
+        if RUN.search(text):
+            return self._join(map(self._token, split(text)))
+        first, *rest = text.split(" ")
+        return self._join((self._join(map(self._token, split(first))), *map(self._word, rest)))
+
+
 class Library:
     """The tokenizers library behind pre-token caches: the same ids as encoding the text at once.
 
@@ -65,15 +97,36 @@ class Library:
         )
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        specials = [t["content"] for t in spec.get("added_tokens", [])]
-        self.special = regex.compile("|".join(map(regex.escape, specials)) or r"(?!)")
+        self.specials = [t["content"] for t in spec.get("added_tokens", [])]
+        if self.plain:
+            self._model, self._table = self.tokenizer.model, _byte_letters()
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def token(self, token: str) -> list[int]:
+        """Ids of one pre-token, by the library's model."""
+        letters = token.encode().decode("latin-1").translate(self._table)
+        return [t.id for t in self._model.tokenize(letters)]
+
     def splits(self, text: str) -> bool:
         """Whether the text may be encoded pre-token by pre-token."""
-        return self.plain and not self.special.search(text) and not UNSURE.search(text)
+        if not self.plain or any(s in text for s in self.specials):
+            return False
+        if text.isascii():
+            return True
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return not UNSURE.search(text)
+        return True
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 _libraries: dict[str, Library] = {}

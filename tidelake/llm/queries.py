@@ -8,9 +8,9 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, tokens
+from tidelake.llm import binary, bpe, jaccard, quality, tokens
 from tidelake.llm.common import utf8_bytes
-from tidelake.session import ship_package
+from tidelake.session import scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", utf8_bytes("text").alias("n_bytes"))
@@ -48,3 +53,26 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = scratch(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    binary.write(docs, files, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    read = binary.read(spark, files).select(
+        "doc_id", "file", "first", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+    return read.join(binary.file_starts(spark, files), "file").select(
+        "doc_id", (F.col("file_start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), quality.held_out()
+    known = table(spark, sf_dir, "labels").filter(~held)
+    scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, known))
+    return scored.select(
+        "doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import binary, bpe, jaccard, quality, tokens
+from tidelake.llm import binary, bpe, jaccard, quality, ring, substrings, templates, tokens
 from tidelake.llm.common import utf8_bytes
 from tidelake.session import scratch, ship_package
 
@@ -32,17 +32,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (utf8_bytes("text") + 16).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    placed = ring.shard(docs, ["doc_id", "text_crc32"], shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", utf8_bytes("text").alias("n_bytes"))
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@query
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

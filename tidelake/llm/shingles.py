@@ -35,6 +35,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hashed_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for each span of bytes, the same wherever the bytes stand."""
+    power, inverse = _tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """One 64-bit hash per word, A-Z in lower case, words cut at the six ASCII blanks."""
     raw = np.frombuffer(text.translate(_FOLD), np.uint8)
@@ -42,10 +50,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.empty(0, np.uint64)
-    power, inverse = _tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return hashed_spans(raw, starts, ends)
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -54,10 +59,8 @@ def shingle_set(text: bytes) -> np.ndarray:
     if not len(words):
         return words
     if len(words) < WORDS:
-        total = np.uint64(len(words)) * _BASE
-        for i, word in enumerate(words):
-            total = total + word * _PLACES[i]
-        return mixed(np.array([total], np.uint64))
+        counted = np.append(words * _PLACES[: len(words)], np.array([len(words)], np.uint64) * _BASE)
+        return mixed(counted.sum(keepdims=True, dtype=np.uint64))
     total = words[: len(words) - WORDS + 1] * _PLACES[0]
     for i in range(1, WORDS):
         total = total + words[i : len(words) - WORDS + 1 + i] * _PLACES[i]

@@ -2,9 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-STAGES: list = []
+from tidelake.llm import bpe, jaccard, quality, substrings, templates
+from tidelake.session import ship_package
+
+#: Documents that score below this are rejected.
+LEAST_QUALITY = 0.5
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts. It learns from the labels' training part."""
+    ship_package(spark)
+    known = _table(spark, sf_dir, "labels").filter(~quality.held_out())
+    model = quality.fit(_table(spark, sf_dir, "documents"), known)
+    scored = quality.score(docs, model, keep_text=True)
+    return scored.filter(F.col("score") >= LEAST_QUALITY).select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that similarity links, the document with the smallest id; of repeated rows, one.
+
+    Documents without an id can't be told apart by it and stay.
+    """
+    ship_package(spark)
+    groups = jaccard.near_components(docs)
+    others = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has; a document left with nothing goes."""
+    ship_package(spark)
+    cut = substrings.dedup_passages(docs)
+    left = cut.filter((F.col("cut_bytes") == 0) | F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col("cut_bytes") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return left.select(docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    ship_package(spark)
+    found = templates.leaks(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their texts, and the text that these ids decode to."""
+    ship_package(spark)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("text", F.col("decoded").cast("string")).drop("decoded")
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near copies", keep_one_of_near_copies),
+    ("repeated passages", cut_repeated_passages),
+    ("benchmark leaks", drop_benchmark_leaks),
+    ("tokens", encode_tokens),
+]
 
 #: SQL can express neither the classifier nor the tokenizer.
 ORACLE_SQL = None
@@ -12,7 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages one after another to ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

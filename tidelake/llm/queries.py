@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import binary, bpe, jaccard, quality, ring, substrings, templates, tokens
+from tidelake.llm import binary, bpe, chat, jaccard, neighbours, quality, ring, substrings, templates, tokens
 from tidelake.llm.common import utf8_bytes
 from tidelake.session import scratch, ship_package
 
@@ -50,6 +50,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.recover_roles(table(spark, sf_dir, "conversations"), known="role")
+
+
 @query
 def op4_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -91,6 +96,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), quality.held_out()

@@ -13,15 +13,18 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tidelake.llm.common import schema_with, small_batches, texts_of, with_columns
 from tidelake.llm.mph import PerfectHash
-from tidelake.llm.pretokens import Memo, split
+from tidelake.llm.pretokens import Memo, Pieces
 
 #: Parts of pre-tokens whose rank a worker remembers.
-PART_ENTRIES = 200_000
+PART_ENTRIES = 100_000
+#: Words that a worker remembers in each generation.
+WORD_ENTRIES = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,8 +43,10 @@ class Vocabulary:
                 self.singles[token[0]] = rank
             elif token is not None and len(token) == 2:
                 self.pairs[token[0] << 8 | token[1]] = rank
+        if min(self.singles) < 0:
+            raise ValueError("the vocabulary lacks a byte")
         self.parts = Memo({}, hashed.get, PART_ENTRIES)
-        self.ids = Memo({}, lambda token: self.encode(token.encode()).tobytes())
+        self.ids = Pieces(lambda token: self.encode(token.encode()).tobytes(), b"".join, words=WORD_ENTRIES)
 
     def encode(self, piece: bytes) -> array:
         """Ids of one pre-token."""
@@ -49,43 +54,42 @@ class Vocabulary:
         return array("i", [whole]) if whole >= 0 else self.merge(piece)
 
     def merge(self, piece: bytes) -> array:
-        n, get, pairs = len(piece), self.parts.__getitem__, self.pairs
+        n, get, pairs, singles = len(piece), self.parts.__getitem__, self.pairs, self.singles
         # the part that starts at i ends at stop[i]; the part before it starts at before[i]
         stop, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_of = [self.singles[byte] for byte in piece]
+        rank_of = [singles[byte] for byte in piece]
+        # an entry holds rank, start and end in one number
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
         heap = []
         for i in range(n - 1):
             rank = pairs[piece[i] << 8 | piece[i + 1]]
             if rank >= 0:
-                heap.append((rank, i, i + 2))
+                heap.append((rank << bits | i) << bits | i + 2)
         heapify(heap)
         while heap:
-            rank, i, end = heappop(heap)
+            entry = heappop(heap)
+            end, i = entry & mask, entry >> bits & mask
             middle = stop[i]
             if rank_of[i] < 0 or middle >= n or rank_of[middle] < 0 or stop[middle] != end:
                 continue  # one of the two parts has changed since
-            stop[i], rank_of[i], rank_of[middle] = end, rank, -1
+            stop[i], rank_of[i], rank_of[middle] = end, entry >> 2 * bits, -1
             if end < n:
                 before[end] = i
-                joined = get(piece[i : stop[end]])
+                after = stop[end]
+                joined = get(piece[i:after])
                 if joined >= 0:
-                    heappush(heap, (joined, i, stop[end]))
+                    heappush(heap, (joined << bits | i) << bits | after)
             left = before[i]
             if left >= 0:
                 joined = get(piece[left:end])
                 if joined >= 0:
-                    heappush(heap, (joined, left, end))
-        out, i = array("i"), 0
-        while i < n:
-            if rank_of[i] < 0:
-                raise ValueError("the vocabulary lacks a byte")
-            out.append(rank_of[i])
-            i = stop[i]
-        return out
+                    heappush(heap, (joined << bits | left) << bits | end)
+        return array("i", [rank for rank in rank_of if rank >= 0])
 
 
 _vocabularies: dict[str, Vocabulary] = {}
-_decoders: dict[str, dict[int, bytes]] = {}
+_decoders: dict[str, Decoder] = {}
 
 
 def vocabulary(path: str, shared: Broadcast) -> Vocabulary:
@@ -95,9 +99,32 @@ def vocabulary(path: str, shared: Broadcast) -> Vocabulary:
     return _vocabularies[path]
 
 
-def decoder(path: str) -> dict[int, bytes]:
+class Decoder:
+    """Bytes of all ids in one row, with their places."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        self.sizes = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        self.starts, at = np.zeros(len(self.sizes), np.int64), 0
+        for token, rank in ranks.items():
+            self.sizes[rank], self.starts[rank] = len(token), at
+            at += len(token)
+        self.row = np.frombuffer(b"".join(ranks), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids, and how many each has."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or self.sizes[ids].min() < 0):
+            raise KeyError("an id that the vocabulary lacks")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        first = self.starts[ids] - (ends - sizes)
+        return self.row[np.repeat(first, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes(), sizes
+
+
+def decoder(path: str) -> Decoder:
+    """One per worker and file."""
     if path not in _decoders:
-        _decoders[path] = {rank: token for token, rank in read_ranks(path).items()}
+        _decoders[path] = Decoder(path)
     return _decoders[path]
 
 
@@ -112,9 +139,9 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     shared = df.sparkSession.sparkContext.broadcast(PerfectHash(read_ranks(path)))
 
     def run(batches):
-        look = vocabulary(path, shared).ids.__getitem__
+        ids_of = vocabulary(path, shared).ids.of
         for batch in small_batches(batches, text):
-            found = [b"".join(map(look, split(t))) for t in texts_of(batch, text)]
+            found = [ids_of(t) for t in texts_of(batch, text)]
             offsets = np.zeros(len(found) + 1, np.int32)
             np.cumsum([len(ids) // 4 for ids in found], out=offsets[1:])
             ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))])
@@ -132,11 +159,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     schema = schema_with(df, **{out: "binary"})
 
     def run(batches):
-        table = decoder(path).__getitem__
+        found = decoder(path)
         for batch in small_batches(batches, ids):
             column = batch.column(ids)
-            flat, offsets = column.values.to_pylist(), column.offsets.to_pylist()
-            found = [b"".join(map(table, flat[a:b])) for a, b in zip(offsets, offsets[1:])]
-            yield with_columns(batch, {out: pa.array(found, pa.binary())}).select(schema.names)
+            raw, sizes = found.decode(column.flatten().to_numpy(zero_copy_only=False))
+            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+            texts = pa.Array.from_buffers(
+                pa.large_binary(), len(counts), [None, pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(raw)]
+            )
+            yield with_columns(batch, {out: texts.cast(pa.binary())}).select(schema.names)
 
     return df.mapInArrow(run, schema)

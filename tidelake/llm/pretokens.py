@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Callable
 
@@ -23,21 +24,28 @@ split = regex.compile(PATTERN).findall
 #: at its start. Any other text may be cut before every space.
 RUN = re.compile(r" (?<=\s )(?:\s|\Z)")
 
-#: Entries of a worker's caches; a full cache starts anew from its fixed part.
-WORD_ENTRIES = 400_000
-TOKEN_ENTRIES = 200_000
+#: Entries of one generation of a worker's caches; there are two generations.
+WORD_ENTRIES = 300_000
+TOKEN_ENTRIES = 100_000
 
 
 class Memo(dict):
-    """Pre-token -> value. A miss is computed and kept; the fixed part stays when the cache is full."""
+    """Key -> value. A miss is computed and kept in the young generation.
+
+    When that is full it becomes the old one, and what the old one still held is forgotten; an old
+    entry that is asked for is young again. ``fixed`` entries are never forgotten.
+    """
 
     def __init__(self, fixed: dict, compute: Callable, limit: int):
         super().__init__(fixed)
-        self._fixed, self._compute, self._limit = fixed, compute, limit
+        self._fixed, self._compute, self._limit, self._old = fixed, compute, limit + len(fixed), {}
 
     def __missing__(self, key):
-        value = self._compute(key)
+        value = self._old.pop(key, None)
+        if value is None:
+            value = self._compute(key)
         if len(self) >= self._limit:
+            self._old = dict(self)
             self.clear()
             self.update(self._fixed)
         self[key] = value
@@ -50,18 +58,19 @@ class Pieces:
     Two caches: of words between two spaces, which spares most of the splitting, and of pre-tokens.
     """
 
-    def __init__(self, compute: Callable, join: Callable, fixed: dict | None = None):
+    def __init__(self, compute: Callable, join: Callable, fixed: dict | None = None, words: int = WORD_ENTRIES):
         fixed = fixed or {}
         tokens = Memo(fixed, compute, TOKEN_ENTRIES)
         self._token = tokens.__getitem__
         self._join = join
 
         def word(text: str):
-            parts = split(" " + text)
-            return compute(parts[0]) if len(parts) == 1 else join(map(self._token, parts))
+            if text.isalpha():  # letters only are one pre-token
+                return compute(" " + text)
+            return join(map(self._token, split(" " + text)))
 
-        known = {t[1:]: v for t, v in fixed.items() if len(split(t)) == 1 and t[:1] == " " and len(t) > 1}
-        self._word = Memo(known, word, WORD_ENTRIES).__getitem__
+        known = {t[1:]: v for t, v in fixed.items() if t[:1] == " " and t[1:].isalpha()}
+        self._word = Memo(known, word, words).__getitem__
 
     def of(self, text: str):
         if RUN.search(text):
@@ -99,15 +108,15 @@ class Library:
         self.tokenizer.no_truncation()
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         if self.plain:
-            self._model, self._table = self.tokenizer.model, _byte_letters()
+            self._tokenize, self._letters = self.tokenizer.model.tokenize, _byte_letters()
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def token(self, token: str) -> list[int]:
         """Ids of one pre-token, by the library's model."""
-        letters = token.encode().decode("latin-1").translate(self._table)
-        return [t.id for t in self._model.tokenize(letters)]
+        letters = codecs.charmap_decode(token.encode(), "strict", self._letters)[0]
+        return [t.id for t in self._tokenize(letters)]
 
     def splits(self, text: str) -> bool:
         """Whether the text may be encoded pre-token by pre-token."""
@@ -122,11 +131,12 @@ class Library:
         return True
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that byte-level vocabularies write for each byte."""
+def _byte_letters() -> str:
+    """The printable letters that byte-level vocabularies write for the 256 bytes."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    letters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return "".join(letters[b] for b in range(256))
 
 
 _libraries: dict[str, Library] = {}

@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.common import schema_with, small_batches, texts_of, with_columns
-from tidelake.llm.pretokens import Memo, library, split
+from tidelake.llm.pretokens import Pieces, library, split
 
 #: Entries of the broadcast table, and characters of its longest key: 2 MB at most.
 FREQUENT = 32_768
@@ -63,15 +63,15 @@ def frequent_lengths(df: DataFrame, path: str, text: str = "text", size: int = F
     return {token: len(encode(token)) for token, _ in seen.most_common(size)}
 
 
-_caches: dict[tuple, Memo] = {}
+_caches: dict[tuple, Pieces] = {}
 
 
-def _lengths(path: str, table: Broadcast, name: str) -> Memo:
+def _lengths(path: str, table: Broadcast, name: str) -> Pieces:
     key = (path, name)
     if key not in _caches:
         _caches.clear()
-        encode = library(path).whole
-        _caches[key] = Memo(table.value, lambda token: len(encode(token)))
+        encode = library(path).token
+        _caches[key] = Pieces(lambda token: len(encode(token)), sum, table.value)
     return _caches[key]
 
 
@@ -91,10 +91,9 @@ def token_counts(
 
     def run(batches):
         lengths, lib = _lengths(path, shared, name), library(path)
-        look = lengths.__getitem__
         for batch in small_batches(batches, text):
             counts = [
-                sum(map(look, split(t))) if lib.splits(t) else len(lib.whole(t))
+                lengths.of(t) if lib.splits(t) else len(lib.whole(t))
                 for t in texts_of(batch, text)
             ]
             yield with_columns(batch, {"n_tokens": pa.array(counts, pa.int64())}).select(schema.names)

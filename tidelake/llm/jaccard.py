@@ -6,10 +6,11 @@ and a set whose shared shingles can't reach the threshold leaves the join. What
 frequency, and sets meet on the few rarest shingles that a link can't avoid (prefix filter). The
 overlap of a candidate pair is counted fragment by fragment and summed per pair.
 
-Pairs are not enumerated within a group. Equal sets are one class. In each bucket of a shared shingle
-all classes are first compared with its smallest class; what that links forms components. Only pairs
-of a bucket that lie in different components are then compared as well, so no link between
-components is lost and a group of thousands of near copies costs one comparison for each.
+Pairs are not enumerated within a group. Equal sets are one class. In turns, one class of a bucket,
+whose rare shingles are shared most widely, is compared with those outside its component; so the text
+that copies were made from gathers them. Then all pairs of a bucket that lie in different components
+and haven't met are compared: no link between components is lost, while a group of thousands of
+near copies costs a few comparisons for each.
 """
 
 from __future__ import annotations
@@ -28,8 +29,12 @@ from tidelake.session import stored
 NUMERATOR, DENOMINATOR = 4, 5
 #: Bits of a shingle hash that are kept within its fragment.
 LOW_BITS = 48
+#: One shingle in so many counts as rare in its set.
+RARE = 10
+#: Turns before all pairs that are left are compared; no link depends on their number.
+TURNS = 2
 #: Fragments in which a pair's overlap is counted.
-PAIR_FRAGMENTS = 4
+PAIR_FRAGMENTS = 2
 
 _LOW = np.uint64((1 << LOW_BITS) - 1)
 
@@ -203,8 +208,32 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def _near_in_size(a: str, b: str) -> Column:
-    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+def _may_link(a: str, b: str) -> Column:
+    """Whether two sets that meet on a shingle can reach the threshold, and may meet there.
+
+    Their sizes and their shared shingles must suffice for the overlap that they need together. The
+    smaller set needs to offer fewer of its rarest shingles than the larger one, ties broken by name.
+    """
+
+    def col(side: str, name: str) -> Column:
+        return F.col(side + name)
+
+    sizes = DENOMINATOR * F.least(col(a, "n"), col(b, "n")) >= NUMERATOR * F.greatest(col(a, "n"), col(b, "n"))
+    both = NUMERATOR * (col(a, "n") + col(b, "n"))
+    enough = (NUMERATOR + DENOMINATOR) * F.least(col(a, "m"), col(b, "m")) >= both
+    small = F.least(*[F.struct(col(s, "n").alias("n"), col(s, "set").alias("set"), col(s, "at").alias("at")) for s in (a, b)])
+    offered = small["n"] - F.ceil(small["n"] * (2 * NUMERATOR) / (NUMERATOR + DENOMINATOR)) + 1
+    return sizes & enough & (small["at"] < offered)
+
+
+def _mixed_buckets(prefix: DataFrame, links: DataFrame) -> DataFrame:
+    """(token, set, n, m, wide, at, component) in the buckets that hold several components."""
+    named = components(links).withColumnRenamed("node", "set")
+    labelled = prefix.join(named, "set", "left").select(
+        "token", "set", "n", "m", "wide", "at", F.coalesce("component", "set").alias("component")
+    )
+    spread = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return labelled.join(spread.filter("lo != hi").select("token"), "token")
 
 
 def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,7 +246,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     are kept; a null id is never a component's smallest unless all are null. An empty table gives
     no rows. Other columns are not read.
     """
-    fragments = _fragments(df)
+    spark, fragments = df.sparkSession, _fragments(df)
     rows = df.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     columns = ["fragment", "key", "set", "n", "owners", "counts", "tokens", "shared"]
@@ -249,15 +278,25 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         .groupBy("set", "n")
         .agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
         .filter(F.size("t") >= _needed("n"))
-        .select("set", "n", F.col("t.token").alias("tokens"))
+        .select(
+            "set",
+            "n",
+            F.col("t.token").alias("tokens"),
+            # how many sets share even the rare shingles of this one: many, if others were made from it
+            F.coalesce(F.get("t", (F.floor(F.col("n") / RARE) - F.col("n") + F.size("t")).cast("int"))["f"], F.lit(1)).alias("wide"),
+        )
     )
-    # the rarest shingles, one of which every link of the set shares with it
+    # the rarest shingles, one of which every link of the set shares with it; unshared ones come first
+    alone = F.col("n") - F.size("tokens")
     prefix = stored(
         sets.select(
             "set",
             "n",
-            F.explode(F.slice("tokens", F.lit(1), (F.size("tokens") - _needed("n") + 1).cast("int"))).alias("token"),
-        )
+            F.size("tokens").alias("m"),
+            "wide",
+            alone.alias("alone"),
+            F.posexplode(F.slice("tokens", F.lit(1), (F.size("tokens") - _needed("n") + 1).cast("int"))).alias("i", "token"),
+        ).select("set", "n", "m", "wide", "token", (F.col("alone") + F.col("i")).alias("at"))
     )
     parts = sets.select(
         "set",
@@ -268,34 +307,41 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         "set", "n", "part",
         F.expr(f"filter(tokens, t -> pmod(shiftright(t, {LOW_BITS}), {PAIR_FRAGMENTS}) = part)").alias("tokens"),
     )
-    leaders = prefix.groupBy("token").agg(F.min(F.struct("set", "n")).alias("leader"), F.count("*").alias("c")).filter("c > 1")
-    stars = stored(
-        prefix.join(leaders, "token")
-        .select(F.col("leader.set").alias("a"), F.col("leader.n").alias("na"), F.col("set").alias("b"), F.col("n").alias("nb"))
-        .filter("a != b")
-        .filter(_near_in_size("na", "nb"))
-        .select("a", "b")
-        .distinct()
-    )
-    links = stored(_overlaps(stars, parts))
-    groups = components(links)
-    labelled = prefix.join(groups.withColumnRenamed("node", "set"), "set", "left").select(
-        "token", "set", "n", F.coalesce("component", "set").alias("component")
-    )
-    spread = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    mixed = stored(labelled.join(spread.select("token"), "token"))
+    links = compared = spark.createDataFrame([], "a long, b long")
+    for turn in range(TURNS):
+        mixed = _mixed_buckets(prefix, links) if turn else prefix.withColumn("component", F.col("set"))
+        # in each bucket, the set that is shared most widely meets all that lies outside its component
+        place = F.struct("wide", F.xxhash64("set", F.lit(turn)).alias("h"), "set", "n", "m", "at", "component")
+        leaders = mixed.groupBy("token").agg(F.max(place).alias("leader"))
+        pairs = (
+            mixed.join(leaders, "token")
+            .filter(F.col("component") != F.col("leader.component"))
+            .filter(_may_link("leader.", ""))
+            .select(F.least("leader.set", "set").alias("a"), F.greatest("leader.set", "set").alias("b"))
+            .distinct()
+        )
+        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"))
+        links = links.unionByName(stored(_overlaps(pairs, parts)))
+        compared = compared.unionByName(pairs)
+    # what is left of the buckets: all pairs of different components that haven't met
+    mixed = stored(_mixed_buckets(prefix, links))
     held = mixed.select("token", "component").distinct()
     across = held.join(held.withColumnRenamed("component", "other"), "token").filter("component < other")
-    left = mixed.select("token", "component", F.col("set").alias("a"), F.col("n").alias("na"))
-    right = mixed.select("token", F.col("component").alias("other"), F.col("set").alias("b"), F.col("n").alias("nb"))
+    left = mixed.select("token", "component", F.struct("set", "n", "m", "at").alias("a"))
+    right = mixed.select("token", F.col("component").alias("other"), F.struct("set", "n", "m", "at").alias("b"))
+    first, second = F.least("a.set", "b.set"), F.greatest("a.set", "b.set")
+    # where a pair first meets in the common order, no more can follow than either set has left
+    left_over = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     candidates = (
         across.join(left, ["token", "component"])
         .join(right, ["token", "other"])
-        .filter(_near_in_size("na", "nb"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .filter(_may_link("a.", "b."))
+        .groupBy(first.alias("a"), second.alias("b"))
+        .agg(F.max(left_over).alias("most"), F.max(F.col("a.n") + F.col("b.n")).alias("both"))
+        .filter((NUMERATOR + DENOMINATOR) * F.col("most") >= NUMERATOR * F.col("both"))
+        .select("a", "b")
     )
-    more = stored(_overlaps(candidates.join(stars, ["a", "b"], "left_anti"), parts))
+    more = stored(_overlaps(candidates.join(compared, ["a", "b"], "left_anti"), parts))
     groups = components(links.unionByName(more))
 
     # the smallest id of each class, then of each component

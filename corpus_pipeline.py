@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.llm import bpe, jaccard, quality, substrings, templates
+from tidelake.llm.common import bound_batches
 from tidelake.session import ship_package
 
 #: Documents that score below this are rejected.
@@ -16,9 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels' training part."""
-    ship_package(spark)
+    _prepare(spark)
     known = _table(spark, sf_dir, "labels").filter(~quality.held_out())
     model = quality.fit(_table(spark, sf_dir, "documents"), known)
     scored = quality.score(docs, model, keep_text=True)
@@ -30,7 +36,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Documents without an id can't be told apart by it and stay.
     """
-    ship_package(spark)
+    _prepare(spark)
     groups = jaccard.near_components(docs)
     others = groups.filter("doc_id != component_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
@@ -38,7 +44,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a document left with nothing goes."""
-    ship_package(spark)
+    _prepare(spark)
     cut = substrings.dedup_passages(docs)
     left = cut.filter((F.col("cut_bytes") == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
@@ -48,14 +54,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    ship_package(spark)
+    _prepare(spark)
     found = templates.leaks(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their texts, and the text that these ids decode to."""
-    ship_package(spark)
+    _prepare(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.decode(bpe.encode(docs, path), path)
     return coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("text", F.col("decoded").cast("string")).drop("decoded")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from tidelake.llm.pretokens import Pieces, library
 
 #: A file is closed after the document that brings it to so many tokens.
 FILE_TOKENS = 2_000_000
+#: Words that a worker remembers in each generation.
+WORD_ENTRIES = 600_000
 
 _MAGIC = b"TLRANS1\0"
 _HEAD = struct.Struct("<8sQQII")
@@ -99,7 +102,7 @@ _encoders: dict[str, Pieces] = {}
 def _encoder(path: str) -> Pieces:
     if path not in _encoders:
         token = library(path).token
-        _encoders[path] = Pieces(lambda t: np.array(token(t), "<u4").tobytes(), b"".join)
+        _encoders[path] = Pieces(lambda t: array("I", token(t)).tobytes(), b"".join, words=WORD_ENTRIES)
     return _encoders[path]
 
 

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that one step of a Python task holds at a time.
 SLICE_BYTES = 8 << 20
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker; Spark counts rows by default.
+BATCH_BYTES = 8 << 20
+_BATCH_OPTION = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of the session exceed ``BATCH_BYTES``, unless one row does."""
+    number, unit = re.match(r"(\d+)\s*([kmg]?)", spark.conf.get(_BATCH_OPTION).lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > BATCH_BYTES:
+        spark.conf.set(_BATCH_OPTION, BATCH_BYTES)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """The strings of a column; a null text counts as empty."""
     return ["" if t is None else t for t in batch.column(name).to_pylist()]

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.llm import binary, bpe, chat, jaccard, neighbours, quality, ring, substrings, templates, tokens
-from tidelake.llm.common import utf8_bytes
+from tidelake.llm.common import bound_batches, utf8_bytes
 from tidelake.session import scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def query(function: Query) -> Query:
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        bound_batches(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

@@ -15,13 +15,15 @@ LANES = 32
 BLOCK = 16_384
 
 _LOW = np.uint64(1 << 31)
-_TOTAL = 1 << TABLE_BITS
+_TOTAL = 1 << TABLE_BITS  # symbols are small numbers: ids of a vocabulary
 _WORD = np.uint64(32)
 
 
 def table(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct symbols, frequencies), scaled to the total with none below one."""
-    found, counts = np.unique(symbols, return_counts=True)
+    counts = np.bincount(symbols)
+    found = np.flatnonzero(counts)
+    counts = counts[found]
     if not len(found):
         return found, counts
     if len(found) > _TOTAL:
@@ -42,7 +44,10 @@ def encode(symbols: np.ndarray, found: np.ndarray, freq: np.ndarray) -> tuple[np
     n = len(symbols)
     blocks, steps = -(-n // BLOCK), BLOCK // LANES
     index = np.zeros(blocks * BLOCK, np.int32)
-    index[:n] = np.searchsorted(found, symbols)
+    if n:
+        place = np.zeros(int(found[-1]) + 1, np.int32)
+        place[found] = np.arange(len(found))
+        index[:n] = place[symbols]
     valid = (np.arange(blocks * BLOCK) < n).reshape(blocks, steps, LANES)
     index = index.reshape(blocks, steps, LANES)
     freq = freq.astype(np.uint64)

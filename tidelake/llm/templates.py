@@ -87,7 +87,8 @@ class Canonical:
         begun[1:] |= self.text[1:] != self.text[:-1]
         head = capital[self.starts] | accent[np.minimum(self.starts + 1, len(raw) - 1)]
         second = self.starts + 1 + accent[np.minimum(self.starts + 1, len(raw) - 1)]
-        small = (second < self.ends) & ~capital[np.minimum(second, len(raw) - 1)]
+        large = capital[np.minimum(second, len(raw) - 1)] | accent[np.minimum(second + 1, len(raw) - 1)]
+        small = (second < self.ends) & ~large
         name = head & small & ~begun & ~number & ~unit
         self.type[number], self.type[unit], self.type[name] = 1, 2, 3
         code = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, code)))

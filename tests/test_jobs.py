@@ -14,7 +14,7 @@ from tests.test_images import rgb
 from tidelake import schema
 from tidelake.operators import images, ledger
 from tidelake.session import ship_package
-from tidelake.sinks.tables import append, persist_raw
+from tidelake.sinks.tables import append, persist_raw, replace_by_source
 from tidelake.sources.files import file_inventory, read_files, read_images, read_required, with_source
 from tidelake.sources.streams import kafka_images, landing_images, landing_pixels, message_image
 from tidelake.streaming import jobs
@@ -235,5 +235,76 @@ def test_checked_append(spark, lake):
     append_checked(spark.createDataFrame([(2,)], "a long"), lake("t"), expected)
     assert spark.read.parquet(lake("t")).schema == expected
     assert spark.read.parquet(lake("t")).count() == 2
-    with pytest.raises(ValueError):
-        append_checked(spark.createDataFrame([("x",)], "a string"), lake("t"), expected)
+    append_checked(spark.createDataFrame([(3,)], "a int"), lake("t"), expected)
+    for rows, kind in (([("x",)], "a string"), ([(1, "x", 2)], "a long, b string, c int"), ([(1.5,)], "a double")):
+        with pytest.raises(ValueError):
+            append_checked(spark.createDataFrame(rows, kind), lake("t"), expected)
+    assert spark.read.parquet(lake("t")).count() == 3
+    required = schema.StructType([schema.StructField("a", schema.LongType(), False)])
+    append_checked(spark.range(2).select(F.col("id").alias("a")), lake("r"), required)
+    for kind in ("a long", "b long"):
+        with pytest.raises(ValueError):
+            append_checked(spark.createDataFrame([(1,)], kind), lake("r"), required)
+    assert spark.read.parquet(lake("r")).count() == 2
+
+
+def test_each_picture_is_labelled_once(spark, lake, tmp_path):
+    """A staged batch of many files goes to the model once, and again only when it was written anew."""
+    import numpy as np
+
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def factory():
+        def model(batch):
+            import uuid
+
+            (seen / f"{uuid.uuid4().hex}.{len(batch)}").touch()
+            return np.zeros((len(batch), 2, 4, 4), np.float32)
+
+        return model
+
+    def calls():
+        return sum(int(f.name.rpartition(".")[2]) for f in seen.iterdir())
+
+    image = schema.as_image(F.unhex(F.lit("00" * 48)), F.lit(4), F.lit(4), F.lit(3)).alias("image")
+    rows = spark.range(240).repartition(24, "id").select(
+        image, F.md5(F.col("id").cast("string")).alias("content_hash"), F.lit("f").alias("source_file"),
+        F.col("id").alias("row_index"), F.lit(None).cast("string").alias("error"), F.lit("b1").alias("batch_id"), F.lit(True).alias("valid"),
+    )
+    for expected in (240, 240, 480):
+        if expected == 480 or not calls():
+            replace_by_source(rows, lake("staged"), ["batch_id", "valid"])
+        jobs.label_staged(spark, lake("staged"), lake("labelled"), lake("log"), factory, size=None, files_per_batch=5)
+        assert calls() == expected
+    assert spark.read.parquet(lake("labelled")).count() == 240
+
+
+def test_paths_with_blanks_are_spelled_alike(spark, lake):
+    """One ledger row per file, a file without rows included."""
+    from tidelake.sources.files import file_inventory, with_source
+
+    folder = lake("a b%20c+d")
+    spark.range(3).write.parquet(f"{folder}/x=1 2")
+    spark.range(0).coalesce(1).write.parquet(f"{folder}/x=3")
+    listed = {r.file_path for r in file_inventory(spark, f"{folder}/*").collect()}
+    read = {r.source_file for r in with_source(spark.read.parquet(folder)).collect()}
+    assert read and read <= listed
+
+
+def test_failed_exports_are_kept_with_their_reason(spark, lake, tmp_path):
+    image = schema.as_image(F.unhex(F.lit("00" * 12)), F.lit(2), F.lit(2), F.lit(3)).alias("image")
+    rows = spark.range(6).select(
+        image, F.md5(F.col("id").cast("string")).alias("content_hash"), F.col("id").cast("string").alias("source_file"),
+        F.col("id").alias("row_index"), F.lit(None).cast("string").alias("error"), F.lit("b1").alias("batch_id"), F.lit(True).alias("valid"),
+    )
+    replace_by_source(rows, lake("staged"), ["batch_id", "valid"])
+
+    def never(picture):
+        raise ValueError("no codec")
+
+    jobs.export_images(spark, lake("staged"), str(tmp_path / "out"), lake("exports"), never)
+    assert {r.error for r in spark.read.parquet(lake("exports_failed")).collect()} == {"ValueError: no codec"}
+    jobs.export_images(spark, lake("staged"), str(tmp_path / "out"), lake("exports"), lambda p: b"x")
+    jobs.export_images(spark, lake("staged"), str(tmp_path / "out"), lake("exports"), lambda p: b"x")
+    assert spark.read.parquet(lake("exports")).count() == 6

@@ -25,7 +25,8 @@ def struct(**fields):
         (dict(a=IntegerType), dict(a=LongType), [("a", "widened", "compatible")]),
         (dict(a=LongType), dict(a=IntegerType), [("a", "retyped", "breaking")]),
         (dict(a=LongType), dict(a=FloatType), [("a", "retyped", "breaking")]),
-        (dict(a=LongType), dict(a=DoubleType), [("a", "widened", "compatible")]),
+        (dict(a=LongType), dict(a=DoubleType), [("a", "retyped", "breaking")]),
+        (dict(a=IntegerType), dict(a=DoubleType), [("a", "widened", "compatible")]),
         (dict(a=LongType), dict(a=StringType), [("a", "retyped", "breaking")]),
         (dict(), dict(a=StringType), [("a", "added", "compatible")]),
         (dict(), dict(a=(StringType,)), [("a", "added", "breaking")]),

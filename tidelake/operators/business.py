@@ -15,16 +15,16 @@ def safety_index(
     missed = F.count_if(truth & ~alarm).alias("misses")
     sums = df.groupBy(unit).agg(F.count("*").alias("n"), wrong, missed)
     cost = F.col("false_alarms") * F.lit(false_alarm) + F.col("misses") * F.lit(miss)
-    return sums.withColumn("safety_index", 1 - cost / (F.col("n") * F.lit(miss)))
+    return sums.withColumn("safety_index", 1 - F.try_divide(cost, F.col("n") * F.lit(miss)))
 
 
 def saving(df: DataFrame, unit: str, value: str, in_baseline: Column) -> DataFrame:
-    """Relative fall of a mean measure from the baseline period to the rest."""
+    """Relative fall of a mean measure from the baseline period to the rest; null from a zero baseline."""
     sums = df.groupBy(unit).agg(
         F.avg(F.when(in_baseline, F.col(value))).alias("baseline"),
         F.avg(F.when(~in_baseline, F.col(value))).alias("current"),
     )
-    return sums.withColumn("saving", (F.col("baseline") - F.col("current")) / F.col("baseline"))
+    return sums.withColumn("saving", F.try_divide(F.col("baseline") - F.col("current"), "baseline"))
 
 
 def downtime(

@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidelake.functions.content import draw
 from tidelake.operators.skew import ROWS_PER_TASK, neighbours
 
 
@@ -17,14 +18,25 @@ def with_features(df: DataFrame, vector: str, label: str) -> DataFrame:
     )
 
 
-def train_light(df: DataFrame, vector: str, label: str, steps: int = 20, penalty: float = 0.01):
-    """Multinomial logistic regression; returns the model and its predictions."""
+def held_out(key: Column, share: float = 0.2) -> Column:
+    """Whether a row is kept from training; the same rows in every run."""
+    return F.coalesce(draw(key.cast("string"), 0, "held out") < F.lit(float(share)), F.lit(False))
+
+
+def train_light(
+    df: DataFrame, vector: str, label: str, steps: int = 20, penalty: float = 0.01, judge: DataFrame | None = None
+):
+    """Multinomial logistic regression; returns the model and its predictions for ``judge``.
+
+    Judge a model on rows it hasn't seen; without ``judge`` the predictions are for its own rows.
+    """
     rows = with_features(df, vector, label)
     learner = LogisticRegression(
         featuresCol="features", labelCol="target", family="multinomial", maxIter=steps, regParam=penalty
     )
     model = learner.fit(rows)
-    return model, model.transform(rows).drop("features", "target", "rawPrediction", "probability")
+    judged = rows if judge is None else with_features(judge, vector, label)
+    return model, model.transform(judged).drop("features", "target", "rawPrediction", "probability")
 
 
 def tune(df: DataFrame, vector: str, label: str, penalties: list[float], folds: int = 3, steps: int = 10):
@@ -116,7 +128,10 @@ def jerks(
 
 
 def ab_test(df: DataFrame, treated: Column, value: str) -> DataFrame:
-    """Size, mean and variance of both arms and the z score of their difference, in one pass."""
+    """Size, mean and variance of both arms and the z score of their difference, in one pass.
+
+    Without variance, or with an empty arm, there is no score: it is null.
+    """
 
     def arm(chosen: Column, name: str) -> list[Column]:
         seen = F.when(chosen, F.col(value))
@@ -127,8 +142,8 @@ def ab_test(df: DataFrame, treated: Column, value: str) -> DataFrame:
         ]
 
     sums = df.agg(*arm(~treated, "a"), *arm(treated, "b"))
-    error = F.sqrt(F.col("var_a") / F.col("n_a") + F.col("var_b") / F.col("n_b"))
-    return sums.withColumn("z", (F.col("mean_b") - F.col("mean_a")) / error)
+    error = F.sqrt(F.try_divide("var_a", "n_a") + F.try_divide("var_b", "n_b"))
+    return sums.withColumn("z", F.try_divide(F.col("mean_b") - F.col("mean_a"), error))
 
 
 def baseline_delta(windows: DataFrame, metric: str, baseline: Column) -> DataFrame:

@@ -10,13 +10,20 @@ from tidelake.operators.skew import ROWS_PER_TASK, carried
 def feature_version(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     """A version per feature table that depends on its rows and not on their order.
 
-    Row digests are summed, so each task hands over one number per table.
+    A row's digest is taken over its fields with their lengths, so that no two rows look alike and a
+    null is no text. The digests are summed in four parts of 64 bits, so each task hands over four
+    numbers per table; the version is the digest of these sums.
     """
-    row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]))
-    number = F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(38,0)")
-    sums = df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(number).alias("_sum"))
-    text = F.concat_ws("|", F.col("rows").cast("string"), F.col("_sum").cast("string"))
-    return sums.select(*by, "rows", F.substring(F.md5(text), 1, 12).alias("version"))
+    fields = [F.col(c).cast("string") for c in columns]
+    row = F.concat(*[F.coalesce(F.concat(F.length(f), F.lit(":"), f), F.lit("-")) for f in fields])
+    digest = F.sha2(row.cast("binary"), 256)
+    parts = [
+        F.sum(F.conv(F.substring(digest, 16 * i + 1, 16), 16, 10).cast("decimal(38,0)")).alias(f"_sum{i}")
+        for i in range(4)
+    ]
+    sums = df.groupBy(*by).agg(F.count("*").alias("rows"), *parts)
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("rows", *[f"_sum{i}" for i in range(4)])])
+    return sums.select(*by, "rows", F.sha2(text.cast("binary"), 256).alias("version"))
 
 
 def latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

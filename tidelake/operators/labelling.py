@@ -7,24 +7,19 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidelake.operators.skew import ROWS_PER_TASK, attach, neighbours, top_per_group
 
-MAX_CLASSES = 256  # class ids are one byte
-
-
 def centroids(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Mean vector per label, as an array."""
-    long = df.select(label, F.posexplode(F.col(vector).cast("array<double>")).alias("at", "v"))
-    means = long.groupBy(label, "at").agg(F.avg("v").alias("m"))
-    # one row per dimension and label is left
-    return means.groupBy(label).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("at", "m"))), lambda p: p["m"]
-        ).alias("centroid")
-    )
+    rows = df.filter(F.col(vector).isNotNull())
+    features = array_to_vector(F.col(vector).cast("array<double>"))
+    return rows.groupBy(label).agg(vector_to_array(Summarizer.mean(features)).alias("centroid"))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -49,25 +44,29 @@ def ood_scores(df: DataFrame, vector: str, label: str, sigmas: float = 3.0) -> D
 def class_scores(df: DataFrame, vector: str, classes: DataFrame, label: str) -> DataFrame:
     """Add ``scores``: softmax of minus the distance to each class centroid, and their ``classes``.
 
-    The centroids are the model's weights: at most MAX_CLASSES rows travel to the tasks, more are an
-    error. The arithmetic is one matrix operation per Arrow batch.
+    The centroids are the model's weights, as many rows as every scored row gets numbers. The
+    arithmetic is one vector operation per Arrow batch and class. The smallest distance of
+    a row is subtracted first, so far vectors have scores, too. A vector that is null, or not of the
+    centroids' length, or without classes, has null scores.
     """
-    rows = classes.select(label, "centroid").orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("more classes than one byte can name")
+    rows = classes.select(label, "centroid").orderBy(label).collect()
     names = [r[label] for r in rows]
-    weights = np.array([r["centroid"] for r in rows], dtype=np.float64)
+    weights = np.array([r["centroid"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(vector)
-            known = column.is_valid().to_numpy(zero_copy_only=False)
-            flat = column.drop_null().flatten().to_numpy(zero_copy_only=False)
-            points = flat.astype(np.float64).reshape(-1, weights.shape[1])
-            far = [np.sqrt(((points - w) ** 2).sum(axis=1)) for w in weights]
-            parts = np.exp(-np.stack(far, axis=1))
+            lengths = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+            known = (lengths == weights.shape[1]) & (len(names) > 0)
+            flat = column.filter(pa.array(known)).flatten().to_numpy(zero_copy_only=False)
+            points = flat.astype(np.float64).reshape(int(known.sum()), -1)
+            far = np.empty((len(points), len(names)))
+            for at, w in enumerate(weights):
+                far[:, at] = np.sqrt(((points - w) ** 2).sum(axis=1))
             scores = np.zeros((batch.num_rows, len(names)))
-            scores[known] = parts / parts.sum(axis=1, keepdims=True)
+            if known.any():
+                parts = np.exp(far.min(axis=1, keepdims=True) - far)
+                scores[known] = parts / parts.sum(axis=1, keepdims=True)
             starts = pa.array(np.arange(batch.num_rows + 1) * len(names), pa.int32())
             packed = pa.ListArray.from_arrays(starts, pa.array(scores.ravel()), mask=pa.array(~known))
             yield pa.RecordBatch.from_arrays([*batch.columns, packed], [*batch.schema.names, "scores"])
@@ -117,7 +116,8 @@ def confidence(df: DataFrame, scores: str = "scores") -> DataFrame:
     return df.withColumns(
         {
             "confidence": F.array_max(scores),
-            "margin": F.element_at(ordered, 1) - F.element_at(ordered, 2),
+            # with one class only, nothing comes second
+            "margin": F.try_element_at(ordered, F.lit(1)) - F.coalesce(F.try_element_at(ordered, F.lit(2)), F.lit(0.0)),
             "entropy": entropy,
         }
     )
@@ -151,16 +151,6 @@ def horizon_row(df: DataFrame, profile: str = "profile") -> DataFrame:
     return df.withColumns({"row": F.array_position(steps, change).cast("int"), "change": change})
 
 
-def _majority(labels: Column) -> Column:
-    """Most frequent element, the smallest on a tie."""
-    counted = F.transform(
-        F.array_sort(F.array_distinct(labels)),
-        lambda x: F.struct(x.alias("x"), F.size(F.filter(labels, lambda y: y == x)).alias("n")),
-    )
-    most = F.array_max(F.transform(counted, lambda c: c["n"]))
-    return F.element_at(F.filter(counted, lambda c: c["n"] == most), 1)["x"]
-
-
 def smooth(
     df: DataFrame,
     key: str,
@@ -171,21 +161,20 @@ def smooth(
     last: int = 5,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Centred moving mean of ``value`` and the majority of the last ``last`` labels."""
+    """Centred moving mean of ``value`` and the majority of the last ``last`` labels, the smallest on a tie."""
 
     def mean(window):
         return F.avg(value).over(window.rowsBetween(-reach, reach))
 
     def labels(window):
-        return F.collect_list(label).over(window.rowsBetween(-(last - 1), Window.currentRow))
+        return F.mode(label, True).over(window.rowsBetween(-(last - 1), Window.currentRow))
 
-    windowed = neighbours(
+    return neighbours(
         df,
         [key],
         order,
         max(reach, last - 1),
         reach,
-        {"smooth_value": mean, "_labels": labels},
+        {"smooth_value": mean, "smooth_label": labels},
         rows_per_task,
     )
-    return windowed.withColumn("smooth_label", _majority(F.col("_labels"))).drop("_labels")

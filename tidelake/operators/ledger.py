@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.functions.content import export_name
-from tidelake.operators.skew import ROWS_PER_TASK, SMALL_ROWS, join_counted, numbered
+from tidelake.operators.skew import ROWS_PER_TASK, SMALL_ROWS, join_counted, numbered, sized
 from tidelake.session import stored
 
 
@@ -53,7 +53,7 @@ def dedup_content(
     if kept > small_rows >= rows - kept:
         known = df.filter(F.col(digest).isNotNull())
         copies = known.select(*order_by).join(first, order_by, "left_anti")
-        return known.join(F.broadcast(copies), order_by, "left_anti")
+        return known.join(sized(copies), order_by, "left_anti")
     return join_counted(df, first, order_by, "left_semi", small_rows)
 
 
@@ -134,7 +134,11 @@ def image_bytes(df: DataFrame, blob: str = "image") -> DataFrame:
 
 
 def last_batch(ledger: DataFrame) -> DataFrame:
-    return ledger.agg(F.max("batch_id").alias("batch_id"))
+    """The newest batch: by its time, then by the number of its part."""
+    text = F.col("batch_id")
+    number = F.coalesce(F.regexp_extract(text, r"_part_(\d+)$", 1).try_cast("decimal(38,0)"), F.lit(-1))
+    time = F.regexp_replace(text, r"_part_\d+$", "")
+    return ledger.agg(F.max_by(text, F.when(text.isNotNull(), F.struct(time, number, text))).alias("batch_id"))
 
 
 def file_parts(

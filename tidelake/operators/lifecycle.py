@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.operators.skew import SMALL_ROWS
+from tidelake.operators.skew import SMALL_ROWS, sized
 from tidelake.session import stored
 
 # fixed values: days in each tier
@@ -57,7 +57,7 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
         depth += 1
         targets = frontier.select(F.col("node").alias("target"))
         if size <= SMALL_ROWS:
-            targets = F.broadcast(targets)
+            targets = sized(targets)
         parents = (
             edges.join(targets, "target", "left_semi").select(F.col("source").alias("node")).distinct()
         )

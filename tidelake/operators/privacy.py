@@ -49,13 +49,16 @@ def edge_filter(df: DataFrame, column: str, rules: dict[str, str] = PATTERNS) ->
 
 
 def _tokens(text: Column, kind: str, matches: Column, salt: str) -> Column:
-    """Each distinct match becomes ``<kind:digest>``, the longest first so none cuts another."""
+    """Each distinct match becomes ``<kind:digest>``, the longest first so none cuts another.
+
+    The whole digest: equal tokens stand for equal values.
+    """
     ordered = F.array_sort(
         F.transform(F.array_distinct(matches), lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m")))
     )
 
     def swap(done: Column, match: Column) -> Column:
-        digest = F.substring(F.sha2(F.concat(F.lit(salt), match["m"]).cast("binary"), 256), 1, 12)
+        digest = F.sha2(F.concat(F.lit(salt), match["m"]).cast("binary"), 256)
         return F.replace(done, match["m"], F.concat(F.lit(f"<{kind}:"), digest, F.lit(">")))
 
     return F.aggregate(ordered, text, swap)

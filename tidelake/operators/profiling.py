@@ -7,10 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
+from tidelake.operators.skew import ROWS_PER_TASK, running_total
+from tidelake.session import stored
+
 
 def _chosen(key: Column, share: float) -> Column:
-    """Stable choice of about ``share`` of the keys, by the first four hex digits of their MD5."""
-    return F.substring(F.md5(key.cast("string").cast("binary")), 1, 4) < F.lit(f"{int(share * 65536):04x}")
+    """Stable choice of about ``share`` of the keys: 48 bits of their MD5 as a number, below the share.
+
+    0 chooses none and 1 all. A null key is a key like others.
+    """
+    text = F.coalesce(key.cast("string"), F.lit("")).cast("binary")
+    number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double")
+    return number < F.lit(float(share) * 16.0**12)
 
 
 def sample_by_hash(df: DataFrame, key: Column, share: float = 0.01) -> DataFrame:
@@ -101,7 +109,10 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def drift_bins(
     reference: DataFrame, current: DataFrame, column: str, bins: int, floor: float = 1e-6
 ) -> DataFrame:
-    """Shares per bin of both tables, bins cut over the reference's range."""
+    """Shares per bin of both tables, bins cut over the reference's range.
+
+    An empty window has no shares: they, and what is computed from them, are null.
+    """
     bounds = _bounds(reference, column)
     sides = reference.select(F.col(column).alias("v"), F.lit(1).alias("ref")).unionByName(
         current.select(F.col(column).alias("v"), F.lit(0).alias("ref"))
@@ -114,10 +125,10 @@ def drift_bins(
     # at most ``bins`` rows from here on
     whole = Window.partitionBy()
     upto = Window.partitionBy().orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    ref = F.col("n_ref") / F.sum("n_ref").over(whole)
-    cur = F.col("n_cur") / F.sum("n_cur").over(whole)
+    ref = F.try_divide("n_ref", F.sum("n_ref").over(whole))
+    cur = F.try_divide("n_cur", F.sum("n_cur").over(whole))
     shares = counts.select("bin", "n_ref", "n_cur", ref.alias("p_ref"), cur.alias("p_cur"))
-    p, q = F.greatest("p_cur", F.lit(floor)), F.greatest("p_ref", F.lit(floor))
+    p, q = (F.when(F.col(c).isNotNull(), F.greatest(c, F.lit(floor))) for c in ("p_cur", "p_ref"))
     return shares.withColumns(
         {
             "psi": (p - q) * F.log(p / q),
@@ -127,7 +138,29 @@ def drift_bins(
 
 
 def drift(reference: DataFrame, current: DataFrame, column: str, bins: int) -> DataFrame:
-    """Population stability index and Kolmogorov-Smirnov distance of two windows."""
-    return drift_bins(reference, current, column, bins).agg(
-        F.sum("psi").alias("psi"), F.max("gap").alias("ks")
+    """Population stability index over bins, and the exact Kolmogorov-Smirnov distance of two windows.
+
+    The distance comes from running counts over the distinct values, split into chunks where they are
+    many. An empty window makes both null.
+    """
+    psi = drift_bins(reference, current, column, bins).agg(F.sum("psi").alias("psi"))
+    return psi.crossJoin(F.broadcast(ks_distance(reference, current, column)))  # one row each
+
+
+def ks_distance(
+    reference: DataFrame, current: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Largest gap between the two cumulative shares, one row."""
+    sides = reference.select(F.col(column).alias("v"), F.lit(1).alias("ref")).unionByName(
+        current.select(F.col(column).alias("v"), F.lit(0).alias("ref"))
+    )
+    counts = stored(
+        sides.filter(F.col("v").isNotNull())
+        .groupBy("v")
+        .agg(F.sum("ref").alias("n_ref"), F.sum(1 - F.col("ref")).alias("n_cur"))
     )
+    totals = {"_ref": F.col("n_ref"), "_cur": F.col("n_cur")}
+    upto = running_total(counts, [], ["v"], totals, rows_per_task)
+    ends = counts.agg(F.sum("n_ref").alias("_all_ref"), F.sum("n_cur").alias("_all_cur"))
+    gap = F.abs(F.try_divide("_ref", "_all_ref") - F.try_divide("_cur", "_all_cur"))
+    return upto.crossJoin(F.broadcast(ends)).agg(F.max(gap).alias("ks"))  # one row

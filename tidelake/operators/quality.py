@@ -79,10 +79,13 @@ def dq_metrics(
     fresh: str,
     as_of: Column,
 ) -> DataFrame:
-    """Rows (metric, item, value): completeness, uniqueness, validity, freshness in days."""
-    aggregates = {("completeness", c): F.count(c) / F.count("*") for c in complete}
-    aggregates |= {("uniqueness", c): F.count_distinct(c) / F.count(c) for c in unique}
-    aggregates |= {("validity", n): F.count_if(rule) / F.count("*") for n, rule in valid.items()}
+    """Rows (metric, item, value): completeness, uniqueness, validity, freshness in days.
+
+    One pass for all but uniqueness, which counts the distinct values of each column by itself, so
+    that no row is copied. A share of nothing, in an empty table or a column of nulls, is null.
+    """
+    aggregates = {("completeness", c): F.try_divide(F.count(c), F.count("*")) for c in complete}
+    aggregates |= {("validity", n): F.try_divide(F.count_if(rule), F.count("*")) for n, rule in valid.items()}
     aggregates[("freshness", fresh)] = F.date_diff(as_of, F.max(fresh)).cast("double")
     one = df.agg(*[c.alias(f"_m{i}") for i, c in enumerate(aggregates.values())])
     rows = [
@@ -91,7 +94,12 @@ def dq_metrics(
         )
         for i, (metric, item) in enumerate(aggregates)
     ]
-    return one.select(F.inline(F.array(*rows)))
+    found = one.select(F.inline(F.array(*rows)))
+    for name in unique:
+        values = df.groupBy(name).agg(F.count(name).alias("n")).filter("n > 0")
+        share = F.try_divide(F.count("*"), F.sum("n")).cast("double").alias("value")
+        found = found.unionByName(values.agg(F.lit("uniqueness").alias("metric"), F.lit(name).alias("item"), share))
+    return found
 
 
 @dataclass(frozen=True)

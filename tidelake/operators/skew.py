@@ -18,7 +18,16 @@ from tidelake.session import stored
 ROWS_PER_TASK = 1_000_000
 SHARE_PER_TASK = 1e-5
 SMALL_ROWS = 100_000
-GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+SMALL_BYTES = 64 << 20
+PARTS = 64
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def sized(df: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``df``, marked for a broadcast if its rows, written out as text, are few enough bytes."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= small_bytes else df
 
 
 def join_counted(
@@ -26,11 +35,11 @@ def join_counted(
 ) -> DataFrame:
     """Join a table that may be small.
 
-    It is counted first, and only a table of at most ``small_rows`` rows is broadcast. Beyond that it
-    is a shuffle join, where AQE splits big keys.
+    It is counted first, and only a table of at most ``small_rows`` rows and SMALL_BYTES is broadcast.
+    Beyond that it is a shuffle join, where AQE splits big keys.
     """
     if other.count() <= small_rows:
-        other = F.broadcast(other)
+        other = sized(other)
     return df.join(other, on, how)
 
 
@@ -94,7 +103,7 @@ def _chunk_window(keys: list[str]) -> WindowSpec:
 
 
 def _rejoin(chunked: DataFrame, per_chunk: DataFrame, keys: list[str]) -> DataFrame:
-    """Join numbers per (key, chunk) back; there are at most big keys + chunks such pairs."""
+    """Join values per (key, chunk) back; there are at most big keys + chunks such pairs."""
     right = per_chunk.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         F.col("_chunk").alias("_r_chunk"),
@@ -105,7 +114,7 @@ def _rejoin(chunked: DataFrame, per_chunk: DataFrame, keys: list[str]) -> DataFr
         [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys],
         F.col("_chunk") == F.col("_r_chunk"),
     )
-    return chunked.join(F.broadcast(right), same).drop("_r_chunk", *[f"_r_{k}" for k in keys])
+    return chunked.join(sized(right), same).drop("_r_chunk", *[f"_r_{k}" for k in keys])
 
 
 def running_total(
@@ -264,11 +273,15 @@ def quantiles(
             at(low).alias(f"_low_{name}"),
             at(F.ceil(place)).alias(f"_high_{name}"),
             F.max(place - low).alias(f"_part_{name}"),
+            F.max(F.ceil(place) - place).alias(f"_up_{name}"),
         ]
     return ranked.groupBy(*by).agg(*aggregates).select(
         *by,
         *[
-            (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}")).alias(n)
+            # the formula of Spark's percentile, operation for operation
+            F.when(F.col(f"_low_{n}") == F.col(f"_high_{n}"), F.col(f"_low_{n}"))
+            .otherwise(F.col(f"_up_{n}") * F.col(f"_low_{n}") + F.col(f"_part_{n}") * F.col(f"_high_{n}"))
+            .alias(n)
             for n in probs
         ],
     )
@@ -279,11 +292,16 @@ def top_per_group(
 ) -> DataFrame:
     """First ``k`` rows per group in ascending order, with their ``rank``.
 
-    For a small ``k`` Spark keeps ``k`` rows per task and group before the shuffle. Beyond its limit
-    for that, the rows of a big group are numbered chunk by chunk.
+    For a small ``k`` Spark keeps ``k`` rows per task and group before the shuffle. These meet in two
+    steps, first those of a part of the tasks, so that no task gets ``k`` rows from every other. Beyond
+    Spark's limit for ``k`` the rows of a big group are numbered chunk by chunk.
     """
-    if k > GROUP_LIMIT:
+    if k > int(df.sparkSession.conf.get(GROUP_LIMIT)):
         ranked = numbered(df, by, order, "rank", rows_per_task)
         return ranked.withColumn("rank", F.col("rank").cast("int")).filter(F.col("rank") <= k)
+    part = F.pmod(F.xxhash64(*order), F.lit(PARTS)).alias("_part")
+    some = Window.partitionBy(*by, "_part").orderBy(*order)
+    few = df.withColumn("_part", part).withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= k)
     window = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    ranked = few.drop("_part").withColumn("rank", F.row_number().over(window))
+    return ranked.filter(F.col("rank") <= k)

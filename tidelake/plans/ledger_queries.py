@@ -168,15 +168,15 @@ def batch_counts(spark, sf_dir):
 @query(
     """
     with f as (select source as file_path, count(*) as n,
-                      (dense_rank() over (order by source) - 1) // 10 as part from documents group by source)
-    select max('batch_19980802_000000_part_' || part) as batch_id from f
+                      dense_rank() over (order by source) - 1 as part from documents group by source)
+    select 'batch_19980802_000000_part_' || max(part) as batch_id from f
     where file_path not in ('src8', 'src9')
     """
 )
 def last_batch(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("source").alias("file_path"))
     as_of = F.lit("1998-08-02").cast("timestamp_ntz")
-    done = ledger.file_parts(docs).withColumn("batch_id", batch_id(as_of, F.col("part")))
+    done = ledger.file_parts(docs, files_per_part=1).withColumn("batch_id", batch_id(as_of, F.col("part")))
     return ledger.last_batch(done.filter(~F.col("file_path").isin("src8", "src9")))
 
 

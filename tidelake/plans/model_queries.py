@@ -5,9 +5,11 @@ The two models are nearest-centroid classifiers, one built on the even and one o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.operators import business, evaluation, features, images, labelling, review
+from tidelake.operators import business, evaluation, features, images, labelling, profiling, quality, review
 from tidelake.operators.profiling import cohort
 from tidelake.plans.catalogue import query, table
 from tidelake.plans.pixel_queries import GREY, grey8
@@ -16,9 +18,11 @@ from tidelake.streaming import windows
 
 @query(
     """with f as (select event_type, cast(ts as date) as day, count(*) as rows,
-        sum(cast('0x' || substr(md5(event_id || '|' || user_id || '|' || event_type), 1, 12) as bigint)) as s
-        from events group by all),
-    v as (select event_type, day, rows, substr(md5(rows || '|' || s), 1, 12) as version from f)
+        sum(cast('0x' || substr(h, 1, 16) as ubigint)::hugeint) as s0, sum(cast('0x' || substr(h, 17, 16) as ubigint)::hugeint) as s1,
+        sum(cast('0x' || substr(h, 33, 16) as ubigint)::hugeint) as s2, sum(cast('0x' || substr(h, 49, 16) as ubigint)::hugeint) as s3
+        from (select *, sha256(length(cast(event_id as varchar)) || ':' || event_id || length(cast(user_id as varchar)) || ':' || user_id
+                               || length(event_type) || ':' || event_type) as h from events) group by event_type, day),
+    v as (select event_type, day, rows, sha256(rows || '|' || s0 || '|' || s1 || '|' || s2 || '|' || s3) as version from f)
     select event_type, cast(max(day) as varchar) as day, arg_max(rows, day) as rows, arg_max(version, day) as version
     from v group by event_type"""
 )
@@ -252,19 +256,79 @@ def audit_trail(spark, sf_dir):
     return changes.drop("entry").withColumn("old", F.coalesce("old", F.lit("")))
 
 
-@query()
+_HELD = """select count(*) as n, true as accurate from embeddings
+    where cast('0x' || substr(md5(vec_id || '|0|held out'), 1, 12) as bigint) < 0.2 * 281474976710656"""
+
+
+def _sides(spark, sf_dir) -> DataFrame:
+    """Vectors with a label that can be learnt from them: the signs of two components, a quarter by chance."""
+    side = (F.get("embedding", F.lit(0)) > 0).cast("int") + 2 * (F.get("embedding", F.lit(1)) > 0).cast("int")
+    return _vectors(spark, sf_dir).withColumn("label", side)
+
+
+def _judged(predictions) -> DataFrame:
+    right = F.avg((F.col("label") == F.col("prediction")).cast("int"))
+    return predictions.agg(F.count("*").alias("n"), (right >= 0.5).alias("accurate"))
+
+
+@query(_HELD)
 def train_light(spark, sf_dir):
-    _, predictions = evaluation.train_light(_vectors(spark, sf_dir), "embedding", "label")
-    return predictions.select("vec_id", "label", "prediction")
+    """Accuracy on the rows that the model hasn't seen."""
+    vectors, held = _sides(spark, sf_dir), evaluation.held_out(F.col("vec_id"))
+    _, found = evaluation.train_light(vectors.filter(~held), "embedding", "label", judge=vectors.filter(held))
+    return _judged(found)
 
 
-@query()
+@query(_HELD)
 def tune(spark, sf_dir):
-    """Predictions of the best model of a penalty grid."""
-    search = evaluation.tune(_vectors(spark, sf_dir), "embedding", "label", [0.01, 0.1], folds=2, steps=5)
-    rows = evaluation.with_features(_vectors(spark, sf_dir), "embedding", "label")
-    best = search.bestModel.transform(rows).select("vec_id", "label", "prediction")
-    return best.withColumn("penalty", F.lit(search.bestModel.getRegParam()))
+    """Accuracy of the best model of a penalty grid on the rows that the search hasn't seen."""
+    vectors, held = _sides(spark, sf_dir), evaluation.held_out(F.col("vec_id"))
+    search = evaluation.tune(vectors.filter(~held), "embedding", "label", [0.01, 0.1], folds=2, steps=5)
+    return _judged(search.bestModel.transform(evaluation.with_features(vectors.filter(held), "embedding", "label")))
+
+
+@query(
+    """select 'completeness' as what, 0.0::double as value, count(*) as n from orders
+       union all select 'uniqueness', -1, count(*) from orders
+       union all select 'psi', -1, count(*) from events union all select 'ks', -1, count(*) from events
+       union all select 'z', -1, count(*) from events
+       union all select 'saving', -1, count(distinct event_type) from events
+       union all select 'margin', count(*), count(*) from embeddings
+       union all select 'far', count(*), count(*) from embeddings"""
+)
+def edge_inputs(spark, sf_dir):
+    """Columns of nulls, an empty window, constant arms, a zero baseline, one class, far vectors."""
+    orders, events, vectors = (table(spark, sf_dir, t) for t in ("orders", "events", "embeddings"))
+    nothing = F.lit(None).cast("string")
+
+    def row(df, what, value, column=None):
+        cell = F.coalesce(F.max(value) if column is None else column, F.lit(-1.0)).cast("double")
+        return df.agg(F.lit(what).alias("what"), cell.alias("value"), F.count("*").alias("n"))
+
+    empty = orders.withColumn("empty", nothing)
+    metrics = quality.dq_metrics(empty, ["empty"], ["empty"], {}, "o_orderdate", F.lit("2003-01-01").cast("date"))
+    metrics = metrics.filter("item = 'empty'").select(
+        F.col("metric").alias("what"), F.coalesce("value", F.lit(-1.0)).alias("value"), orders.agg(F.count("*")).scalar().alias("n")
+    )
+    drift = profiling.drift(events, events.filter("event_id < -1"), "value", 10)
+    total = events.agg(F.count("*")).scalar().alias("n")
+    drifts = [drift.select(F.lit(c).alias("what"), F.coalesce(c, F.lit(-1.0)).alias("value"), total) for c in ("psi", "ks")]
+    arms = evaluation.ab_test(events.withColumn("one", F.lit(1.0)), F.col("user_id") % 2 == 0, "one")
+    z = arms.select(F.lit("z").alias("what"), F.coalesce("z", F.lit(-1.0)).alias("value"), (F.col("n_a") + F.col("n_b")).alias("n"))
+    saved = business.saving(events.withColumn("zero", F.lit(0.0)), "event_type", "zero", F.col("user_id") % 2 == 0)
+    one = vectors.select("vec_id", F.lit(0).alias("label"), "embedding")
+    lead = labelling.confidence(
+        labelling.class_scores(one, "embedding", labelling.centroids(one, "embedding", "label"), "label")
+    )
+    away = vectors.withColumn("embedding", F.transform("embedding", lambda v: v.cast("double") * 1e6))
+    far = labelling.class_scores(away, "embedding", labelling.centroids(vectors, "embedding", "label"), "label")
+    total_score = F.aggregate("scores", F.lit(0.0), lambda s, p: s + p)
+    parts = [
+        metrics, *drifts, z, row(saved, "saving", "saving"),
+        row(lead, "margin", None, F.sum("margin")),
+        row(far, "far", None, F.sum(F.when(F.abs(total_score - 1) < 1e-9, 1.0).otherwise(0.0))),
+    ]
+    return reduce(DataFrame.union, parts)
 
 
 @query(f"with {_CONFIDENCE} select label as truth, predicted, count(*) as n from co group by all")
@@ -331,7 +395,7 @@ def promote(spark, sf_dir):
 
 
 @query(
-    """select user_id, substr(md5(cast(user_id as varchar)), 1, 4) < '1999' as in_cohort, count(*) as n,
+    """select user_id, cast('0x' || substr(md5(cast(user_id as varchar)), 1, 12) as bigint) < 0.1 * 281474976710656 as in_cohort, count(*) as n,
               round(avg(value), 6) as mean_value from events group by all"""
 )
 def canary(spark, sf_dir):

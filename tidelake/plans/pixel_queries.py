@@ -18,6 +18,11 @@ LEVELS = """transform(embedding,
     v -> cast(least(255, greatest(0, floor((cast(v as double) + 0.5D) * 255))) as int))"""
 
 
+def _black() -> Column:
+    """A plane that the last picture lacks."""
+    return F.expr("array_repeat(0, 64)")
+
+
 def _bytes(levels: Column) -> Column:
     return F.unhex(F.array_join(F.transform(levels, lambda p: F.lpad(F.hex(p), 2, "0")), ""))
 
@@ -39,8 +44,7 @@ def rgb8(spark, sf_dir) -> DataFrame:
     plane = F.col("vec_id") % 3
     planes = (
         rows.groupBy(F.floor(F.col("vec_id") / 3).alias("image_id"))
-        .agg(*[F.max(F.when(plane == i, F.col("levels"))).alias(n) for i, n in enumerate("rgb")])
-        .dropna()
+        .agg(*[F.coalesce(F.max(F.when(plane == i, F.col("levels"))), _black()).alias(n) for i, n in enumerate("rgb")])
     )
     interleaved = F.flatten(
         F.transform(F.arrays_zip("b", "g", "r"), lambda p: F.array(p["b"], p["g"], p["r"]))
@@ -59,9 +63,11 @@ def grey32(spark, sf_dir) -> DataFrame:
     parts = rows.groupBy(F.floor(F.col("vec_id") / 16).alias("image_id")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("vec_id") % 16, "levels"))).alias("parts")
     )
-    levels = F.flatten(F.transform("parts", lambda p: p["levels"]))
+    by_place = F.map_from_entries("parts")
+    places = F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))
+    levels = F.flatten(F.transform(places, lambda i: F.coalesce(F.try_element_at(by_place, i), _black())))
     side = F.lit(32)
-    return parts.filter(F.size("parts") == 16).select(
+    return parts.select(
         "image_id",
         F.md5(F.col("image_id").cast("string")).alias("content_hash"),
         as_image(_bytes(levels), side, side, F.lit(1)).alias("image"),
@@ -85,13 +91,15 @@ GREY = """
            from embeddings, range(1, 65) t(i))
 """
 RGB = GREY + """,
-    rgb as (select image_id // 3 as image_id, x, y, image_id % 3 as c, v from px
-            where image_id // 3 in (select image_id // 3 from px group by 1 having count(*) = 192))
+    rgb as (select g.image_id, t.x, t.y, t.c, coalesce(px.v, 0) as v
+            from (select distinct image_id // 3 as image_id from px) g,
+                 (select i % 8 as x, i // 8 % 8 as y, i // 64 as c from range(192) r(i)) t
+            left join px on px.image_id = g.image_id * 3 + t.c and px.x = t.x and px.y = t.y)
 """
 GREY32 = GREY + """,
-    big as (select image_id // 16 as image_id, ((image_id % 16) * 64 + y * 8 + x) % 32 as x,
-                   ((image_id % 16) * 64 + y * 8 + x) // 32 as y, 0 as c, v from px
-            where image_id // 16 in (select image_id // 16 from px group by 1 having count(*) = 1024))
+    big as (select g.image_id, t.i % 32 as x, t.i // 32 as y, 0 as c, coalesce(px.v, 0) as v
+            from (select distinct image_id // 16 as image_id from px) g, (select i from range(1024) r(i)) t
+            left join px on px.image_id = g.image_id * 16 + t.i // 64 and px.y = t.i % 64 // 8 and px.x = t.i % 8)
 """
 SHOW = """
     select image_id, cast(max(x) + 1 as integer) as width, cast(max(y) + 1 as integer) as height,

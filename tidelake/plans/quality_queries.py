@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidelake import schema
@@ -93,7 +95,8 @@ def price_quantiles(spark, sf_dir):
 
 
 @query(
-    """select * from lineitem where substr(md5(l_orderkey || '-' || l_linenumber), 1, 4) < '028f'"""
+    """select * from lineitem
+       where cast('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 12) as bigint) < 0.01 * 281474976710656"""
 )
 def sample_1pct(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
@@ -101,6 +104,24 @@ def sample_1pct(spark, sf_dir):
     return profiling.sample_by_hash(lines, key, 0.01)
 
 
+@query(
+    """select share, count(*) as n, sum(l_orderkey) as keys from lineitem, (select unnest([0, 1e-6, 0.5, 1.0]::double[]) as share)
+       where cast('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 12) as bigint) < share * 281474976710656 group by share
+       union all select 0.0, 0, 0"""
+)
+def sample_shares(spark, sf_dir):
+    """None, a few, half and all of the rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    counted = [
+        profiling.sample_by_hash(lines, key, share).agg(
+            F.lit(share).alias("share"), F.count("*").alias("n"), F.coalesce(F.sum("l_orderkey"), F.lit(0)).alias("keys")
+        ).filter("n > 0 or share = 0")
+        for share in (0.0, 1e-6, 0.5, 1.0)
+    ]
+    return reduce(DataFrame.union, counted)
+
+
 _NUMBERS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax",
@@ -168,7 +189,13 @@ def drift_psi(spark, sf_dir):
     return bins.select("bin", "n_ref", "n_cur", F.round("psi", 6).alias("psi"))
 
 
-@query(_DRIFT + "select round(sum(psi), 6) as psi, round(max(gap), 6) as ks from d")
+@query(
+    _DRIFT + """, v as (select value, count(*) filter (where ts < timestamp '2024-01-16') as a,
+                        count(*) filter (where ts >= timestamp '2024-01-16') as b from events group by value),
+    k as (select abs(sum(a) over w / sum(a) over () - sum(b) over w / sum(b) over ()) as gap
+          from v window w as (order by value rows unbounded preceding))
+    select round((select sum(psi) from d), 6) as psi, round(max(gap), 6) as ks from k"""
+)
 def drift_ks(spark, sf_dir):
     first, second = _january_halves(spark, sf_dir)
     found = profiling.drift(first, second, "value", 10)
@@ -294,7 +321,7 @@ def _token_steps() -> str:
         )
         swap = (
             f"list_reduce(list_transform({found}, lambda s: s.m), lambda acc, m: replace(acc, m,"
-            f" '<{kind}:' || substr(sha256('pepper' || m), 1, 12) || '>'), text)"
+            f" '<{kind}:' || sha256('pepper' || m) || '>'), text)"
         )
         steps.append(f"s{i} as (select doc_id, {swap} as text from {before})")
         before = f"s{i}"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake import schema
-from tidelake.functions.content import content_hash
+from tidelake.functions.content import content_hash, export_name
 from tidelake.operators import images, ledger
 from tidelake.plans.catalogue import query, table
 from tidelake.plans.pixel_queries import GREY, SHOW, grey8, pixels
-from tidelake.session import scratch
+from tidelake.session import scratch, stored
+from tidelake.sinks.files import export_files
 from tidelake.sinks.tables import append, persist_raw, replace_by_source
 from tidelake.sources.files import file_inventory, read_images, read_required, select_path, with_source
 from tidelake.sources.streams import message_image, table_stream
@@ -173,9 +174,35 @@ def path_select(spark, sf_dir):
     return rows.withColumn("missing", lacking.agg(F.count("*")).scalar().cast("int"))
 
 
-@query()
+@query("select source, lang, 1::bigint as files, true as named from documents group by source, lang")
 def file_listing(spark, sf_dir):
-    return file_inventory(spark, sf_dir).select("file_name", "file_size")
+    """Files of a partitioned table, found below its folders."""
+    folder = scratch(spark, "listed")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    docs.repartition("source", "lang").write.partitionBy("source", "lang").parquet(folder)
+    files = file_inventory(spark, folder, recursive=True).filter("file_size > 0")
+    return files.groupBy(
+        F.regexp_extract("file_path", "source=([^/]+)", 1).alias("source"), F.regexp_extract("file_path", "lang=([^/]+)", 1).alias("lang")
+    ).agg(F.count("*").alias("files"), F.bool_and(F.endswith("file_path", F.concat(F.lit("/"), F.col("file_name")))).alias("named"))
+
+
+@query(
+    """select md5(text) as content_hash, 'doc_' || md5(text) || '.txt' as file_name, max(strlen(text)) as file_size,
+              max(strlen(text)) as image_size from documents group by text"""
+)
+def export_round_trip(spark, sf_dir):
+    """Each content as a file; names and sizes from the folder, the rest from what the export tells."""
+    folder = scratch(spark, "exported").removeprefix("file://").removeprefix("file:")
+    docs = table(spark, sf_dir, "documents")
+    first = docs.groupBy(F.md5("text").alias("content_hash")).agg(
+        F.min_by(F.col("text").cast("binary"), "doc_id").alias("image"), F.min_by("source", "doc_id").alias("source_file")
+    )
+    named = first.withColumn("file_name", export_name(F.col("content_hash"), "doc", suffix=".txt"))
+    written = stored(export_files(named, folder)).filter("error is null")
+    files = file_inventory(spark, f"file://{folder}", ".txt").select("file_name", "file_size")
+    return written.withColumn("file_name", F.substring_index("local_path", "/", -1)).join(files, "file_name").select(
+        "content_hash", "file_name", "file_size", "image_size"
+    )
 
 
 _STAGED = f"""
@@ -194,8 +221,8 @@ def stage_images(spark, sf_dir):
 
 
 @query(
-    """select vec_id // 100 as raw_part, count(*) filter (where vec_id % 10 <> 0) as records
-       from embeddings where vec_id // 100 < 4 group by 1"""
+    """select least(vec_id // 100, 4) as raw_part, count(*) filter (where vec_id % 10 <> 0) as records
+       from embeddings group by 1"""
 )
 def stage_file_ledger(spark, sf_dir):
     """Records per raw file in the file ledger."""
@@ -223,4 +250,4 @@ def _staged(spark, sf_dir):
     counted = spark.read.schema(schema.FILE_LEDGER).parquet(f"{folder}/ledger")
     number = F.regexp_extract("file_path", r"raw_part=(\d+)", 1).cast("long")
     per_part = counted.groupBy(number.alias("raw_part")).agg(F.sum("records_processed").alias("records"))
-    return shown, per_part.filter("raw_part < 4")
+    return shown, per_part

@@ -41,6 +41,7 @@ LANDING = StructType(
     ]
 )
 
+# fixed values: names and types of the two ledgers' columns
 FILE_LEDGER = StructType(
     [
         StructField("file_path", StringType(), False),
@@ -81,8 +82,8 @@ def _widens(old: DataType, new: DataType) -> bool:
     kinds = [type(old), type(new)]
     if any(kind not in _WIDER for kind in kinds):
         return False
-    if kinds == [LongType, FloatType] or kinds == [IntegerType, FloatType]:
-        return False
+    if kinds in ([LongType, FloatType], [IntegerType, FloatType], [LongType, DoubleType]):
+        return False  # digits would be lost
     return _WIDER.index(kinds[0]) < _WIDER.index(kinds[1])
 
 
@@ -113,6 +114,27 @@ def compare_schemas(old: StructType, new: StructType) -> list[tuple[str, str, st
     return changes
 
 
+def misfits(table: StructType, rows: StructType) -> list[tuple[str, str]]:
+    """(column, reason) for all that keeps ``rows`` from being written to ``table`` without loss.
+
+    A column of the table must be at least as wide as the rows', a required one must be there and
+    never null, and the rows may have no column that the table lacks.
+    """
+    there = {f.name: f for f in rows}
+    known = {f.name for f in table}
+    found = [(name, "not in the table") for name in there if name not in known]
+    for field in table:
+        own = there.get(field.name)
+        if own is None:
+            if not field.nullable:
+                found.append((field.name, "required, but missing"))
+        elif own.dataType != field.dataType and not _widens(own.dataType, field.dataType):
+            found.append((field.name, f"{own.dataType.simpleString()} does not fit {field.dataType.simpleString()}"))
+        elif own.nullable and not field.nullable:
+            found.append((field.name, "required, but nullable"))
+    return found
+
+
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Both tables under one schema: missing columns are null, widened types take the wider one."""
     breaking = [c for c in compare_schemas(old.schema, new.schema) if c[1] == "retyped"]

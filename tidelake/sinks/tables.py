@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidelake.schema import compare_schemas
+from tidelake.schema import misfits
 
 
 def append(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -15,10 +15,13 @@ def append(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def append_checked(df: DataFrame, path: str, expected: StructType) -> None:
-    """Append to a table with a declared schema; a breaking difference is an error."""
-    breaking = [c for c in compare_schemas(expected, df.schema) if c[2] == "breaking"]
-    if breaking:
-        raise ValueError(f"rows do not fit the table: {breaking}")
+    """Append to a table with a declared schema; whatever would be lost or break it is an error.
+
+    Narrower numbers are widened, and optional columns that the rows lack are null.
+    """
+    found = misfits(expected, df.schema)
+    if found:
+        raise ValueError(f"rows do not fit the table: {found}")
     fitted = [
         F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in expected
@@ -60,7 +63,7 @@ def record_files(
 
 
 def record_exports(written: DataFrame, batch: Column, as_of: Column, ledger: str) -> None:
-    """Write a batch's rows of the export ledger."""
+    """Write a batch's rows of the export ledger. ``batch`` must name one run only."""
     rows = written.select(
         F.col("content_hash").alias("file_hash"),
         "local_path",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidelake import schema
@@ -31,14 +31,14 @@ def select_path(spark: SparkSession, path: str, expressions: str) -> DataFrame:
     return spark.sql(f"select {expressions} from parquet.`{path}`")
 
 
-def with_source(df: DataFrame) -> DataFrame:
-    """Where each row came from: file and position in it.
+def source_path() -> Column:
+    """Path of a row's file, spelled as a listing has it: ``_metadata`` escapes blanks and the like."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
-    Every ledger uses this one spelling of a path (``input_file_name`` spells it differently).
-    """
-    return df.withColumns(
-        {"source_file": F.col("_metadata.file_path"), "row_index": F.col("_metadata.row_index")}
-    )
+
+def with_source(df: DataFrame) -> DataFrame:
+    """Where each row came from: file and position in it. Every ledger uses this spelling of a path."""
+    return df.withColumns({"source_file": source_path(), "row_index": F.col("_metadata.row_index")})
 
 
 def file_inventory(

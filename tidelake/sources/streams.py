@@ -69,11 +69,14 @@ def table_stream(
     columns: StructType,
     files_per_batch: int | None = None,
     glob: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a table as a stream."""
+    """New Parquet files of a table as a stream; a micro-batch is bounded by files or else by bytes."""
     reader = spark.readStream.schema(columns)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    elif bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from tidelake import schema
 from tidelake.functions.content import batch_id, content_hash, export_name, is_present
@@ -27,7 +27,7 @@ from tidelake.operators.ledger import (
 from tidelake.session import stored
 from tidelake.sinks.files import export_files, missing_files
 from tidelake.sinks.tables import record_exports, record_files, replace_by_source
-from tidelake.sources.files import file_inventory
+from tidelake.sources.files import file_inventory, source_path
 from tidelake.sources.streams import table_stream
 
 STAGED = StructType(
@@ -42,13 +42,19 @@ STAGED = StructType(
     ]
 )
 
+VERSIONS = StructType([StructField("batch_id", StringType()), StructField("version", TimestampType())])
+
+#: Input of one micro-batch; the cluster's parallelism comes from its bytes.
+BYTES_PER_BATCH = 100 << 30
+
 PLACE = ["source_file", "row_index", "batch_id"]
 
 
-def read_or_empty(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    """A table that need not exist yet."""
+def read_or_empty(spark: SparkSession, path: str, columns: StructType, base: str | None = None) -> DataFrame:
+    """A table that need not exist yet, or a folder of it whose table is ``base``."""
+    reader = spark.read.schema(columns)
     try:
-        return spark.read.schema(columns).parquet(path)
+        return (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -71,8 +77,9 @@ def stage_raw(
     checkpoint: str,
     steps: list[images.Step] | None = None,
     decoder: Callable | None = None,
-    files_per_batch: int = 10,
+    files_per_batch: int | None = None,
     seed: int = 0,
+    bytes_per_batch: int = BYTES_PER_BATCH,
 ) -> None:
     """Standardise new pictures of the raw table and write the file ledger.
 
@@ -82,9 +89,9 @@ def stage_raw(
     """
     columns = schema.RAW if decoder else StructType([StructField("image", schema.IMAGE)])
     listed = stored(file_inventory(spark, raw).select(F.col("file_path").alias("source_file")))
-    stream = table_stream(spark, raw, columns, files_per_batch).select(
+    stream = table_stream(spark, raw, columns, files_per_batch, bytes_per_batch=bytes_per_batch).select(
         "image",
-        F.col("_metadata.file_path").alias("source_file"),
+        source_path().alias("source_file"),
         F.col("_metadata.row_index").alias("row_index"),
         F.col("_metadata.file_modification_time").alias("_modified"),
     )
@@ -96,7 +103,7 @@ def stage_raw(
         newest = files.agg(F.max("_modified")).first()[0]
         if newest is None:
             return
-        name = batch_id(F.lit(newest), F.lit(number))
+        name = spark.range(1).select(batch_id(F.lit(newest), F.lit(number))).first()[0]
         rows = batch.drop("_modified").filter(is_present(F.col("image")))
         if decoder:
             rows = rows.withColumn("content_hash", content_hash(F.col("image")))
@@ -105,14 +112,14 @@ def stage_raw(
             rows = rows.withColumn("content_hash", content_hash(F.col("image.data")))
         ready = images.standardise_images(rows, steps, seed=seed)
         replace_by_source(
-            ready.withColumns({"batch_id": name, "valid": F.col("error").isNull()}),
+            ready.withColumns({"batch_id": F.lit(name), "valid": F.col("error").isNull()}),
             staged,
             ["batch_id", "valid"],
         )
-        # a batch without a usable row may not have written the folder at all
-        written = read_or_empty(spark, staged, STAGED)
-        done = written.filter((F.col("batch_id") == name) & F.col("valid"))
-        record_files(file_counts(files, done), name, F.current_timestamp(), ledger, files=1)
+        # only this batch's folder is listed; without a usable row it may not have been written at all
+        written = read_or_empty(spark, f"{staged}/batch_id={name}", STAGED, base=staged)
+        done = written.filter("valid")
+        record_files(file_counts(files, done), F.lit(name), F.current_timestamp(), ledger, files=1)
 
     incremental(stream, work, checkpoint).awaitTermination()
     # files without rows are never seen by the stream, but this run has read all that were listed
@@ -131,21 +138,37 @@ def label_staged(
     model_factory: Callable[[], images.Model],
     batch: int = 8,
     size: int | None = 256,
-    files_per_batch: int = 10,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int = BYTES_PER_BATCH,
 ) -> None:
-    """Label staged batches that are new or were written again."""
-    stream = table_stream(spark, staged, STAGED, files_per_batch).select("batch_id", "valid")
+    """Label staged batches that are new or were written again, each once per version.
+
+    A version is the time of the batch's newest file; ``checkpoint`` keeps those that are done. Pictures
+    that the model fails on are kept in ``<labelled>_failed`` with the reason.
+    """
+    stream = table_stream(spark, staged, STAGED, files_per_batch, bytes_per_batch=bytes_per_batch).select("batch_id", "valid")
+    log = f"{checkpoint.rstrip('/')}_versions"
 
     def work(part: DataFrame, _: int) -> None:
-        # a staged batch is the unit of replacement, so all its files are labelled together;
-        # there are at most files_per_batch names
+        # a staged batch is the unit of replacement, so all its files are labelled together with the
+        # first of them, and a micro-batch with the others finds the version done;
+        # there are at most as many names as files in the micro-batch
         names = [r["batch_id"] for r in part.filter("valid").select("batch_id").distinct().collect()]
         if not names:
             return
-        whole = spark.read.schema(STAGED).parquet(staged).filter(
-            F.col("valid") & F.col("batch_id").isin(names)
-        )
-        labels = images.label_images(whole.drop("valid", "error"), model_factory, batch, size)
+        folders = [f"{staged}/batch_id={name}" for name in names]
+        whole = spark.read.schema(STAGED).option("basePath", staged).parquet(*folders).filter("valid")
+        versions = whole.groupBy("batch_id").agg(F.max("_metadata.file_modification_time").alias("version"))
+        fresh = stored(versions.join(read_or_empty(spark, log, VERSIONS), ["batch_id", "version"], "left_anti"))
+        names = [r["batch_id"] for r in fresh.collect()]
+        if not names:
+            return
+        whole = whole.filter(F.col("batch_id").isin(names))
+        found = images.label_images(whole.drop("valid", "error"), model_factory, batch, size)
+        # the model runs once; both sides are read from what it gave
+        labels = stored(found)
+        failed = labels.filter(F.col("error").isNotNull()).select("content_hash", "source_file", "row_index", "error", "batch_id")
+        replace_by_source(failed, f"{labelled.rstrip('/')}_failed", "batch_id")
         replace_by_source(
             labels.filter(F.col("error").isNull()).select(
                 "image",
@@ -157,6 +180,7 @@ def label_staged(
             labelled,
             "batch_id",
         )
+        fresh.coalesce(1).write.mode("append").parquet(log)
 
     incremental(stream, work, checkpoint).awaitTermination()
 
@@ -216,7 +240,11 @@ def _export(rows, folder, ledger, encoder, prefix, digits, overlay) -> None:
         "file_name", export_name(F.col("content_hash"), prefix, digits)
     )
     if overlay is not None:
-        chosen = images.overlay_masks(chosen, overlay).filter(F.col("error").isNull())
-    written = export_files(chosen, folder, "image", encoder=encoder)
+        chosen = images.overlay_masks(chosen, overlay)
+    tried = stored(export_files(chosen, folder, "image", encoder=encoder))
     as_of = F.current_timestamp()
-    record_exports(written, F.date_format(as_of, "yyyyMMdd_HHmmss"), as_of, ledger)
+    # two runs of one second are two batches
+    batch = F.concat(F.date_format(as_of, "yyyyMMdd_HHmmss"), F.lit(f"_{uuid.uuid4().hex}"))
+    record_exports(tried.filter("error is null"), batch, as_of, ledger)
+    failed = tried.filter("error is not null").select("content_hash", "source_file", "error", batch.alias("batch_id"))
+    replace_by_source(failed, f"{ledger.rstrip('/')}_failed", "batch_id")

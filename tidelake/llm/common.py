@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidelake.session import scratch
+
 #: Bytes of text that one step of a Python task holds at a time.
 SLICE_BYTES = 8 << 20
 
@@ -56,6 +58,12 @@ def utf8_bytes(text: str | Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def row_key(doc_id: str, text: str) -> list[Column]:
-    """Rows that agree in id and text are one document to the operators that edit texts."""
-    return [F.col(doc_id), F.xxhash64(F.col(text))]
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read from there, without compression.
+
+    For steps that are many and small: a codec takes buffers outside the heap for every file and
+    column, and these pile up in an executor until its next full collection.
+    """
+    path = scratch(df.sparkSession, "step")
+    df.write.option("compression", "none").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.session import stored
+from tidelake.llm.common import kept
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Self-links and repeated links do no harm; no links give no rows. A node with very many links is
     never gathered in one task: it meets them in minima with map-side combine and in joins.
     """
-    edges = stored(
+    edges = kept(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
     )
     state = None
@@ -38,7 +38,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if found == state:
             break
         state = found
-        edges = stored(_small_star(_large_star(edges)))
+        edges = kept(_small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -20,10 +20,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.common import small_batches
+from tidelake.llm.common import kept, small_batches
 from tidelake.llm.components import components
 from tidelake.llm.shingles import set_hash, shingle_set
-from tidelake.session import stored
 
 #: Two sets link when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 4, 5
@@ -256,7 +255,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     from pyspark.sql.pandas.types import to_arrow_type
 
-    step = stored(
+    step = kept(
         cut.groupBy("fragment").applyInArrow(
             _shared_in_fragment(to_arrow_type(rows.schema["key"].dataType)),
             f"key {kind}, set long, n long, tokens array<long>",
@@ -269,11 +268,11 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     # sets that have enough shared shingles to be in any link
     reach = shared.groupBy("set").agg(F.sum(F.size("tokens")).alias("m")).join(classes.select("set", "n"), "set")
     able = reach.filter(F.col("m") >= _needed("n")).select("set", "n")
-    token_rows = stored(
+    token_rows = kept(
         shared.join(able, "set").select("set", "n", F.explode("tokens").alias("token")).distinct()
     )
     frequency = token_rows.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
-    sets = stored(
+    sets = kept(
         token_rows.join(frequency, "token")
         .groupBy("set", "n")
         .agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
@@ -288,7 +287,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     # the rarest shingles, one of which every link of the set shares with it; unshared ones come first
     alone = F.col("n") - F.size("tokens")
-    prefix = stored(
+    prefix = kept(
         sets.select(
             "set",
             "n",
@@ -320,28 +319,22 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             .select(F.least("leader.set", "set").alias("a"), F.greatest("leader.set", "set").alias("b"))
             .distinct()
         )
-        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"))
-        links = links.unionByName(stored(_overlaps(pairs, parts)))
+        pairs = kept(pairs.join(compared, ["a", "b"], "left_anti"))
+        links = links.unionByName(kept(_overlaps(pairs, parts)))
         compared = compared.unionByName(pairs)
     # what is left of the buckets: all pairs of different components that haven't met
-    mixed = stored(_mixed_buckets(prefix, links))
-    held = mixed.select("token", "component").distinct()
-    across = held.join(held.withColumnRenamed("component", "other"), "token").filter("component < other")
-    left = mixed.select("token", "component", F.struct("set", "n", "m", "at").alias("a"))
-    right = mixed.select("token", F.col("component").alias("other"), F.struct("set", "n", "m", "at").alias("b"))
-    first, second = F.least("a.set", "b.set"), F.greatest("a.set", "b.set")
+    mixed = kept(_mixed_buckets(prefix, links))
+    one, other = (mixed.select(*[F.col(c).alias(side + c) for c in mixed.columns]) for side in ("a_", "b_"))
     # where a pair first meets in the common order, no more can follow than either set has left
-    left_over = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    left_over = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    enough = (NUMERATOR + DENOMINATOR) * left_over >= NUMERATOR * (F.col("a_n") + F.col("b_n"))
+    meet = (F.col("a_token") == F.col("b_token")) & (F.col("a_component") < F.col("b_component"))
     candidates = (
-        across.join(left, ["token", "component"])
-        .join(right, ["token", "other"])
-        .filter(_may_link("a.", "b."))
-        .groupBy(first.alias("a"), second.alias("b"))
-        .agg(F.max(left_over).alias("most"), F.max(F.col("a.n") + F.col("b.n")).alias("both"))
-        .filter((NUMERATOR + DENOMINATOR) * F.col("most") >= NUMERATOR * F.col("both"))
-        .select("a", "b")
+        one.join(other, meet & _may_link("a_", "b_") & enough)
+        .select(F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b"))
+        .distinct()
     )
-    more = stored(_overlaps(candidates.join(compared, ["a", "b"], "left_anti"), parts))
+    more = kept(_overlaps(candidates.join(compared, ["a", "b"], "left_anti"), parts))
     groups = components(links.unionByName(more))
 
     # the smallest id of each class, then of each component

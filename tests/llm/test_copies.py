@@ -258,6 +258,30 @@ def test_leaks(spark):
     assert rows[6, 2].n_windows >= rows[6, 2].item_windows - 2
 
 
+def test_leaks_whatever_stands_before_a_name(spark):
+    items = [
+        (1, "Tom has 5 red apples and gives away two of them"),
+        (2, "Henry walked to the old mill. Henry saw 40 ducks there. Henry fed them. Henry went home"),
+        (3, "In some old towns there are 12 more bells"),
+        (4, "Later on we met old Anna Berg by the sea"),
+    ]
+    docs = [
+        (1, "they asked whether " + items[0][1] + " or not"),
+        (2, "they asked whether " + items[0][1].replace("Tom", "Maria").replace("5", "8") + " or not"),
+        (3, items[0][1].replace("Tom", "Maria")),
+        (4, items[1][1].replace("Henry", "Maria")),
+        (5, "it is on page 14 " + items[2][1]),
+        (6, items[3][1].lower()),
+        (7, items[1][1].replace("Henry", "Maria", 1).replace("40", "50").replace("mill", "barn").replace("ducks", "geese")),
+        (8, "they asked whether Tom has 5 red pears and gives away two of them"),
+    ]
+    got = templates.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    rows = {(r.doc_id, r.item_id): r for r in got}
+    assert set(rows) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 4)}
+    assert {d for (d, _), r in rows.items() if r.verbatim} == {1, 5, 6}
+    assert all(0 < r.n_windows <= r.item_windows for r in got) and rows[2, 1].n_changed == 2
+
+
 def test_leaks_of_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert templates.leaks(frame(spark, []), items).count() == 0

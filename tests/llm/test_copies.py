@@ -205,6 +205,27 @@ def test_cuts_resist_insertions():
     assert len(before - after) <= 4
 
 
+def chunks_of(text):
+    raw = text.encode()
+    ends = substrings.chunk_ends(raw)
+    return [raw[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def test_known_phrases_in_a_new_order_stay(spark):
+    docs, mixed = [(i, prose(40_000 + i, 60)) for i in range(60)], []
+    for _, text in docs:
+        for chunk in chunks_of(text)[:-1]:
+            if len(chunk.encode()) >= 32 and len(chunk.split()) < 15 and chunks_of("".join([*mixed, chunk])) == [*mixed, chunk]:
+                mixed.append(chunk)
+                break
+    assert len(mixed) > 5 and len("".join(mixed).split()) > 40
+    source = docs[7][1]
+    docs += [(100, "".join(mixed)), (101, source + "\n" + prose(41_000, 40)), (102, prose(41_001, 40) + " " + source)]
+    rows = {r.doc_id: r for r in substrings.dedup_passages(frame(spark, docs)).collect()}
+    assert rows[100].text == "".join(mixed) and rows[100].cut_words == 0
+    assert rows[101].cut_words >= 40 and rows[102].cut_words >= 25
+
+
 # benchmark items
 
 

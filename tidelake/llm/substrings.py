@@ -3,8 +3,10 @@
 A gear hash rolls over the bytes of a whole text; where its window ends at a blank and its highest bits
 are zero, a chunk ends. What a chunk holds depends on the bytes around it alone, so a passage is cut
 alike wherever it stands, and an insertion moves no cut behind it. Chunks are looked up by digest: the
-occurrence with the smallest (document, position) stays, others are repeats. Repeats that follow each
-other and have enough words together are cut out.
+occurrence with the smallest (document, position) stays, others are repeats. So are sequences, a chunk
+with as many that follow it as have enough words together. Repeats that follow each other and have
+enough words are cut out as far as sequences prove them: common phrases in a new order are known one by
+one, but stay.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ _GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=7) & 0xFFFFFFFF for
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _CUT = np.uint32((1 << 32) // WORDS_PER_CHUNK)
 _LAST = (1 << 63) - 1  # stands for a null id
+_SEQUENCE = 1 << 31  # added to the place of a sequence
 
 
 def gear_hashes(raw: np.ndarray) -> np.ndarray:
@@ -73,6 +76,22 @@ def chunk_digests(text: bytes, ends: np.ndarray) -> np.ndarray:
     return np.array([digest(text[a:b]) for a, b in zip(cuts, cuts[1:])], np.uint64)
 
 
+def word_sums(text: bytes) -> np.ndarray:
+    """Words that begin before each byte, and in the whole text."""
+    blank = _BLANK[np.frombuffer(text, np.uint8)]
+    return np.concatenate(([0], np.cumsum(~blank & np.concatenate(([True], blank[:-1])))))
+
+
+def sequence_digests(text: bytes, ends: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the chunks from which on ``LEAST_WORDS`` words are left: the last one of the sequence, and its digest."""
+    words = word_sums(text)
+    last = np.searchsorted(words[ends], words[np.append(0, ends[:-1])] + LEAST_WORDS)
+    last = last[last < len(ends)]
+    raw, digest = chunks.tobytes(), xxhash.xxh3_64_intdigest
+    found = [digest(raw[8 * a : 8 * b + 8], seed=1) for a, b in enumerate(last.tolist())]
+    return last, np.array(found, np.uint64)
+
+
 def _runs(changed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of runs, from where a new one begins."""
     starts = np.flatnonzero(changed)
@@ -107,7 +126,7 @@ def _packed(fragment: int, doc: np.ndarray, place: np.ndarray, digest: np.ndarra
 
 
 def _chunks(fragments: int):
-    """Chunks of each batch of texts, packed by fragment of the digest.
+    """Chunks and sequences of each batch of texts, packed by fragment of the digest.
 
     Of a digest that a batch has several times only the first goes to the fragment; the others are
     repeats for sure and go under a negative fragment, spread by document. So a chunk that a third of
@@ -117,15 +136,20 @@ def _chunks(fragments: int):
     def run(batches):
         for batch in small_batches(batches, "t"):
             docs = pc.fill_null(batch.column("k"), _LAST).to_numpy(zero_copy_only=False)
-            digests, sizes = [], []
+            digests, places, sizes = [], [], []
             for text in batch.column("t").cast(pa.binary()).to_pylist():
                 ends = chunk_ends(text or b"")
-                sizes.append(len(ends))
-                if len(ends):
-                    digests.append(chunk_digests(text, ends))
+                if not len(ends):
+                    sizes.append(0)
+                    continue
+                own = chunk_digests(text, ends)
+                _, longer = sequence_digests(text, ends, own)
+                digests += own, longer
+                places += np.arange(len(own)), np.arange(len(longer)) + _SEQUENCE
+                sizes.append(len(own) + len(longer))
             digest = np.concatenate([*digests, np.empty(0, np.uint64)])
             doc = np.repeat(docs, sizes)
-            place = np.arange(len(digest)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            place = np.concatenate([*places, np.empty(0, np.int64)])
             order = np.lexsort((place, doc, digest))
             digest, doc, place = digest[order], doc[order], place[order]
             later, once = _later(digest, doc, place), _new(digest)
@@ -149,7 +173,7 @@ def _chunks(fragments: int):
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """Per document, the chunks of one fragment that are repeats."""
+    """Per document, the chunks and sequences of one fragment that are repeats."""
     fragment = table.column("fragment")[0].as_py()
     docs, counts, places, digests = (
         np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
@@ -181,21 +205,32 @@ def repeated_spans(text: bytes, places: list[int], digests: list[int]) -> tuple[
     ends = chunk_ends(text)
     if not len(ends):
         return [], 0
-    known = dict(zip(places, digests))
-    own = chunk_digests(text, ends).view(np.int64).tolist()
-    hit = np.array([known.get(i) == g for i, g in enumerate(own)])
-    blank = _BLANK[np.frombuffer(text, np.uint8)]
-    words = np.concatenate(([0], np.cumsum(~blank & np.concatenate(([True], blank[:-1])))))
+    known = set(zip(places, digests))
+    own = chunk_digests(text, ends)
+    last, longer = sequence_digests(text, ends, own)
+    hit = np.array([x in known for x in enumerate(own.view(np.int64).tolist())])
+    held = np.array([x in known for x in enumerate(longer.view(np.int64).tolist(), -_SEQUENCE)], bool)
+    # what no repeated sequence covers
+    change = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(change, np.flatnonzero(held), 1)
+    np.add.at(change, last[held] + 1, -1)
+    loose = np.cumsum(change[:-1]) == 0
+    words, begins = word_sums(text), np.append(0, ends)
+
+    def stretches(*columns):
+        """First chunk, chunks, and words of each stretch that is alike."""
+        starts, lengths = _runs(_new(*columns))
+        return starts, lengths, words[ends[starts + lengths - 1]] - words[begins[starts]]
+
+    for a, n, count in zip(*stretches(hit)):
+        hit[a : a + n] &= count >= LEAST_WORDS
+    for a, n, count in zip(*stretches(hit, loose)):
+        hit[a : a + n] &= not (loose[a] and count >= LEAST_WORDS)
     spans, total = [], 0
-    starts, lengths = _runs(_new(hit))
-    begins = np.append(0, ends)
-    for a, n in zip(starts, lengths):
+    for a, n, count in zip(*stretches(hit)):
         if hit[a]:
-            start, end = int(begins[a]), int(ends[a + n - 1])
-            count = int(words[end] - words[start])
-            if count >= LEAST_WORDS:
-                spans.append((start, end))
-                total += count
+            spans.append((int(begins[a]), int(ends[a + n - 1])))
+            total += int(count)
     return spans, total
 
 

@@ -32,11 +32,11 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of text, or one row if that is larger."""
+def small_batches(batches: Iterable[pa.RecordBatch], name: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or one row if that is larger."""
     for batch in batches:
         count = max(1, batch.num_rows)
-        rows = max(1, SLICE_BYTES // max(1, batch.column(name).nbytes // count))
+        rows = max(1, size // max(1, batch.column(name).nbytes // count))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tidelake.llm.common import schema_with, small_batches, texts_of, with_columns
+from tidelake.llm.common import schema_with, small_batches, texts_of, with_columns, worker_cache
 from tidelake.llm.mph import PerfectHash
 from tidelake.llm.pretokens import Memo, Pieces
 
@@ -88,15 +88,12 @@ class Vocabulary:
         return array("i", [rank for rank in rank_of if rank >= 0])
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-_decoders: dict[str, Decoder] = {}
-
-
 def vocabulary(path: str, shared: Broadcast) -> Vocabulary:
     """One per worker and file; the hash is built once, on the driver."""
-    if path not in _vocabularies:
-        _vocabularies[path] = Vocabulary(shared.value)
-    return _vocabularies[path]
+    known = worker_cache("bpe")
+    if ("encode", path) not in known:
+        known["encode", path] = Vocabulary(shared.value)
+    return known["encode", path]
 
 
 class Decoder:
@@ -123,9 +120,28 @@ class Decoder:
 
 def decoder(path: str) -> Decoder:
     """One per worker and file."""
-    if path not in _decoders:
-        _decoders[path] = Decoder(path)
-    return _decoders[path]
+    known = worker_cache("bpe")
+    if ("decode", path) not in known:
+        known["decode", path] = Decoder(path)
+    return known["decode", path]
+
+
+def _encoded(ids_of, texts: list[str]) -> pa.ListArray:
+    found = [ids_of(t) for t in texts]
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(ids) // 4 for ids in found], out=offsets[1:])
+    ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))])
+    return pa.ListArray.from_arrays(pa.array(offsets), ids)
+
+
+def _decoded(found: Decoder, column: pa.ListArray) -> pa.Array:
+    raw, sizes = found.decode(column.flatten().to_numpy(zero_copy_only=False))
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    upto = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+    texts = pa.Array.from_buffers(
+        pa.large_binary(), len(counts), [None, pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(raw)]
+    )
+    return texts.cast(pa.binary())
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -141,12 +157,21 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     def run(batches):
         ids_of = vocabulary(path, shared).ids.of
         for batch in small_batches(batches, text):
-            found = [ids_of(t) for t in texts_of(batch, text)]
-            offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(ids) // 4 for ids in found], out=offsets[1:])
-            ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), ids)
-            yield with_columns(batch, {out: lists}).select(schema.names)
+            yield with_columns(batch, {out: _encoded(ids_of, texts_of(batch, text))}).select(schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass: the ids go to the decoder before they leave the task."""
+    schema = schema_with(df.drop(text), **{ids: "array<int>", out: "binary"})
+    shared = df.sparkSession.sparkContext.broadcast(PerfectHash(read_ranks(path)))
+
+    def run(batches):
+        ids_of, found = vocabulary(path, shared).ids.of, decoder(path)
+        for batch in small_batches(batches, text):
+            coded = _encoded(ids_of, texts_of(batch, text))
+            yield with_columns(batch, {ids: coded, out: _decoded(found, coded)}).select(schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -161,13 +186,6 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def run(batches):
         found = decoder(path)
         for batch in small_batches(batches, ids):
-            column = batch.column(ids)
-            raw, sizes = found.decode(column.flatten().to_numpy(zero_copy_only=False))
-            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            upto = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
-            texts = pa.Array.from_buffers(
-                pa.large_binary(), len(counts), [None, pa.py_buffer(upto.astype(np.int64).tobytes()), pa.py_buffer(raw)]
-            )
-            yield with_columns(batch, {out: texts.cast(pa.binary())}).select(schema.names)
+            yield with_columns(batch, {out: _decoded(found, batch.column(ids))}).select(schema.names)
 
     return df.mapInArrow(run, schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,6 +23,23 @@ BATCH_BYTES = 8 << 20
 _BATCH_OPTION = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker remembers for ``owner`` from task to task.
+
+    Workers are reused: when another operator's task begins, what the one before remembered goes, and
+    its memory goes back to the system.
+    """
+    if any(_caches.pop(name, None) for name in [n for n in _caches if n != owner]):
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+    return _caches.setdefault(owner, {})
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Let no Arrow batch of the session exceed ``BATCH_BYTES``, unless one row does."""
     number, unit = re.match(r"(\d+)\s*([kmg]?)", spark.conf.get(_BATCH_OPTION).lower()).groups()

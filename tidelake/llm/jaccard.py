@@ -3,14 +3,17 @@
 The order of all shingles is cut into fragments. One shuffle brings the shingles of each fragment
 together, where those that occur in one set only are dropped; the counts of the rest are summed per set,
 and a set whose shared shingles can't reach the threshold leaves the join. What stays is ordered by
-frequency, and sets meet on the few rarest shingles that a link can't avoid (prefix filter). The
-overlap of a candidate pair is counted fragment by fragment and summed per pair.
+frequency, and sets meet on the few rarest shingles that a link can't avoid (prefix filter). This order
+is cut into ranges of equal weight; the overlap of a candidate pair is counted range by range and the
+partial counts are summed per pair.
 
 Pairs are not enumerated within a group. Equal sets are one class. In turns, one class of a bucket,
 whose rare shingles are shared most widely, is compared with those outside its component; so the text
-that copies were made from gathers them. Then all pairs of a bucket that lie in different components
-and haven't met are compared: no link between components is lost, while a group of thousands of
-near copies costs a few comparisons for each.
+that copies were made from gathers them. What is left of a bucket, in different components, meets inside
+the join that would pair it: there two sets become a candidate only if their sketches, the parities of
+their shingles over some thousand bits, differ in no more bits than a link allows shingles to differ. That
+bound is exact, so no link between components is lost, while texts that are alike but don't link, be
+they thousands, give next to no candidates.
 """
 
 from __future__ import annotations
@@ -32,8 +35,10 @@ LOW_BITS = 48
 RARE = 10
 #: Turns before all pairs that are left are compared; no link depends on their number.
 TURNS = 2
-#: Fragments in which a pair's overlap is counted.
-PAIR_FRAGMENTS = 2
+#: Ranges of the global order of shingles in which a pair's overlap is counted.
+PAIR_FRAGMENTS = 4
+#: Bits in a set's sketch: by how many of them two sets differ at least, so many shingles they don't share.
+SKETCH_BITS = 4096
 
 _LOW = np.uint64((1 << LOW_BITS) - 1)
 
@@ -225,6 +230,32 @@ def _may_link(a: str, b: str) -> Column:
     return sizes & enough & (small["at"] < offered)
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(set, sketch): for each bit, whether an odd number of the set's shingles falls on it."""
+    place = F.pmod(F.xxhash64("token"), F.lit(SKETCH_BITS))
+    bits = (
+        sets.select("set", F.explode("tokens").alias("token"))
+        .groupBy("set", F.floor(place / 64).cast("int").alias("word"))
+        .agg(F.bit_xor(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(token), {SKETCH_BITS}) % 64 as int))")).alias("bits"))
+    )
+    by_word = bits.groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
+    words = F.sequence(F.lit(0), F.lit(SKETCH_BITS // 64 - 1))
+    return by_word.select("set", F.transform(words, lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long"))).alias("sketch"))
+
+
+def _can_overlap(a: str, b: str) -> Column:
+    """Whether the sketches allow the overlap that a link needs.
+
+    Shingles that only one of two sets has are at least as many as the bits that differ; sketches
+    are made from shared shingles, so the others count as not shared anyway.
+    """
+    differ = F.aggregate(
+        F.zip_with(a + "sketch", b + "sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n
+    )
+    most = F.col(a + "m") + F.col(b + "m") - differ  # twice the overlap
+    return (NUMERATOR + DENOMINATOR) * most >= 2 * NUMERATOR * (F.col(a + "n") + F.col(b + "n"))
+
+
 def _mixed_buckets(prefix: DataFrame, links: DataFrame) -> DataFrame:
     """(token, set, n, m, wide, at, component) in the buckets that hold several components."""
     named = components(links).withColumnRenamed("node", "set")
@@ -246,8 +277,9 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     no rows. Other columns are not read.
     """
     spark, fragments = df.sparkSession, _fragments(df)
-    rows = df.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
+    kind = df.select(doc_id).schema[0].dataType.simpleString()
+    # ids may be structs; their parts count as nullable from here on
+    rows = df.select(F.col(doc_id).cast(kind).alias("key"), F.col(text).alias("text"))
     columns = ["fragment", "key", "set", "n", "owners", "counts", "tokens", "shared"]
     cut = rows.mapInArrow(
         _cut("key", "text", fragments, columns),
@@ -271,7 +303,10 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     token_rows = kept(
         shared.join(able, "set").select("set", "n", F.explode("tokens").alias("token")).distinct()
     )
-    frequency = token_rows.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
+    frequency = kept(token_rows.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"))
+    # the order is cut where a frequency begins, into ranges that hold equally many entries
+    cuts = frequency.agg(F.percentile("f", [i / PAIR_FRAGMENTS for i in range(1, PAIR_FRAGMENTS)], F.col("f"))).first()[0] or []
+    borders = sorted(set(map(float, cuts)))
     sets = kept(
         token_rows.join(frequency, "token")
         .groupBy("set", "n")
@@ -281,6 +316,8 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             "set",
             "n",
             F.col("t.token").alias("tokens"),
+            # where each range of the order begins among them
+            F.array(F.lit(0), *[F.size(F.expr(f"filter(t, x -> x.f <= {b})")) for b in borders], F.size("t")).alias("starts"),
             # how many sets share even the rare shingles of this one: many, if others were made from it
             F.coalesce(F.get("t", (F.floor(F.col("n") / RARE) - F.col("n") + F.size("t")).cast("int"))["f"], F.lit(1)).alias("wide"),
         )
@@ -298,13 +335,9 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         ).select("set", "n", "m", "wide", "token", (F.col("alone") + F.col("i")).alias("at"))
     )
     parts = sets.select(
-        "set",
-        "n",
-        F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))).alias("part"),
-        "tokens",
+        "set", "n", "tokens", "starts", F.explode(F.sequence(F.lit(0), F.lit(len(borders)))).alias("part")
     ).select(
-        "set", "n", "part",
-        F.expr(f"filter(tokens, t -> pmod(shiftright(t, {LOW_BITS}), {PAIR_FRAGMENTS}) = part)").alias("tokens"),
+        "set", "n", "part", F.expr("slice(tokens, starts[part] + 1, starts[part + 1] - starts[part])").alias("tokens")
     )
     links = compared = spark.createDataFrame([], "a long, b long")
     for turn in range(TURNS):
@@ -324,13 +357,15 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         compared = compared.unionByName(pairs)
     # what is left of the buckets: all pairs of different components that haven't met
     mixed = kept(_mixed_buckets(prefix, links))
+    left = kept(_sketches(sets.join(mixed.select("set").distinct(), "set", "left_semi")))
+    mixed = mixed.join(left, "set")
     one, other = (mixed.select(*[F.col(c).alias(side + c) for c in mixed.columns]) for side in ("a_", "b_"))
     # where a pair first meets in the common order, no more can follow than either set has left
     left_over = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
     enough = (NUMERATOR + DENOMINATOR) * left_over >= NUMERATOR * (F.col("a_n") + F.col("b_n"))
     meet = (F.col("a_token") == F.col("b_token")) & (F.col("a_component") < F.col("b_component"))
     candidates = (
-        one.join(other, meet & _may_link("a_", "b_") & enough)
+        one.join(other, meet & _may_link("a_", "b_") & enough & _can_overlap("a_", "b_"))
         .select(F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b"))
         .distinct()
     )

@@ -11,6 +11,8 @@ from tidelake.session import stored
 
 #: Distinct vectors per graph, about, and queries that walk a graph in one go.
 SHARD_ROWS = 4096
+#: Distinct vectors per graph where the data is larger than the cores can share at that size.
+LARGEST_SHARD = 1_000_000
 QUERY_ROWS = 1024
 
 
@@ -26,6 +28,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component near 1.
+
+    That is exact and leaves cosines alone, but squares neither overflow nor vanish.
+    """
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / np.abs(vectors).max(1, keepdims=True)
     return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
@@ -65,7 +75,10 @@ def build_index(df: DataFrame, key: str, vector: str, copies: int, shard_rows: i
         rows.distinct().withColumn("rank", rank).filter(F.col("rank") <= copies)
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
-    shards = max(1, -(-nodes.count() // shard_rows))
+    size = nodes.count()
+    # shards grow with the data, so that their number stays near that of the cores
+    cores = 2 * df.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, min(-(-size // shard_rows), max(cores, -(-size // LARGEST_SHARD))))
     return stored(
         nodes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), "ids", "v")
         .groupBy("dim", "shard")
@@ -80,10 +93,10 @@ def _search(k: int, ef: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                vectors = np.frombuffer(row["vectors"], "<f8").reshape(-1, row["dim"])
+                vectors = _scaled(np.frombuffer(row["vectors"], "<f8").reshape(-1, row["dim"]))
                 degree = [hnsw.DEGREE * (2 if i == 0 else 1) for i in range(len(row["layers"]))]
                 layers = [np.frombuffer(g, "<i4").reshape(-1, d) for g, d in zip(row["layers"], degree)]
-                queries = np.array(row["queries"], float).reshape(-1, row["dim"])
+                queries = _scaled(np.array(row["queries"], float).reshape(-1, row["dim"]))
                 found, _ = hnsw.Graph(layers, row["entry"]).search(_unit(vectors), _unit(queries), ef)
                 norms, own = np.sqrt((vectors * vectors).sum(1)), np.sqrt((queries * queries).sum(1))
                 ends = np.cumsum(row["copies"])

@@ -7,9 +7,9 @@ import re
 from collections.abc import Callable
 
 import regex
+from public_tokenizers import PATTERN
 
-# The pattern that splits a text before the merges of a byte-level vocabulary.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from tidelake.llm.common import worker_cache
 
 # Code points of the basic plane whose class differs between the Unicode tables of the
 # tokenizers library and those of the regex module (every code point was compared).
@@ -139,11 +139,9 @@ def _byte_letters() -> str:
     return "".join(letters[b] for b in range(256))
 
 
-_libraries: dict[str, Library] = {}
-
-
 def library(path: str) -> Library:
     """One per worker and vocabulary."""
-    if path not in _libraries:
-        _libraries[path] = Library(path)
-    return _libraries[path]
+    known = worker_cache("library")
+    if path not in known:
+        known[path] = Library(path)
+    return known[path]

@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.common import schema_with, small_batches, with_columns
+from tidelake.llm.common import schema_with, small_batches, with_columns, worker_cache
 
 #: Bounds of what is fitted on: rows of each class for its dictionary, and rows for the calibration.
 DICTIONARY_ROWS = 3_000
@@ -91,15 +91,12 @@ def _calibrate(model: Model, x: np.ndarray, y: np.ndarray) -> Model:
     return model
 
 
-_packers: dict[bytes, Packer] = {}
-
-
 def _packer(model: Model) -> Packer:
-    key = model.good + model.bad
-    if key not in _packers:
-        _packers.clear()
-        _packers[key] = Packer(model.good, model.bad)
-    return _packers[key]
+    known, key = worker_cache("quality"), model.good + model.bad
+    if key not in known:
+        known.clear()
+        known[key] = Packer(model.good, model.bad)
+    return known[key]
 
 
 def _features(text: str, model):
@@ -153,22 +150,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     return _calibrate(model, x, np.array([r["y"] for r in rows], float))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+def score(df: DataFrame, model: Model, text: str = "text", keep_text: bool = False, out: str = "score") -> DataFrame:
     """``df`` with ``score double`` from 0 to 1, higher for better text, from whole texts alone.
 
+    Inputs are the difference of the two compressed sizes over their sum, both sizes per byte, and the
+    logarithm of the text's size.
+
     A null text counts as empty; an empty text gets the score of its features, too. Rows are kept,
-    repeated ones alike; a column named ``score`` is replaced; an empty table gives none. The text
+    repeated ones alike; a column that bears the name ``out`` is replaced; an empty table gives none. The text
     itself is left out unless ``keep_text``.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = schema_with(df if keep_text else df.drop(text), score="double")
+    schema = schema_with(df if keep_text else df.drop(text), **{out: "double"})
 
     def run(batches):
         packer = _packer(shared.value)
         for batch in small_batches(batches, text):
             rows = [packer.features(t or b"") for t in batch.column(text).cast(pa.binary()).to_pylist()]
             scores = shared.value.scores(np.array(rows).reshape(-1, 4))
-            yield with_columns(batch, {"score": pa.array(scores, pa.float64())}).select(schema.names)
+            yield with_columns(batch, {out: pa.array(scores, pa.float64())}).select(schema.names)
 
     return df.mapInArrow(run, schema)
 

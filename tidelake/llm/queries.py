@@ -80,8 +80,7 @@ def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return bpe.decode(encoded, path).select(
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),

@@ -16,17 +16,24 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACES = np.array([0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
+#: Powers that a worker keeps from text to text.
+KEPT_POWERS = 1 << 21
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least ``n`` of them."""
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(2 * n, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    """Powers of the base and of its inverse modulo 2^64, at least ``n`` of them; a few are kept."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    size = max(n, min(2 * n, KEPT_POWERS))
+    found = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps, dtype=np.uint64))
+    if size <= KEPT_POWERS:
+        _powers[:] = found
+    return found[0], found[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -29,6 +29,12 @@ WORDS_PER_CHUNK = 4
 LONGEST = 512
 #: Bytes that the rolling hash looks at.
 WINDOW = 32
+#: Where no blank has come for so many bytes, a chunk may end at any character, and one byte in
+#: ``BYTES_PER_WORD`` counts as the beginning of a word, both as the hash decides.
+UNBROKEN = 64
+BYTES_PER_WORD = 16
+
+NEW_COLUMNS = {"cut_spans": "array<struct<start: int, end: int>>", "cut_bytes": "long", "cut_words": "long"}
 
 _GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=7) & 0xFFFFFFFF for b in range(256)], np.uint32)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -47,12 +53,26 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
+def _unbroken(raw: np.ndarray, blank: np.ndarray) -> np.ndarray | None:
+    """First bytes of characters with no blank among the ``UNBROKEN`` bytes up to them; None if there are none."""
+    stops = np.concatenate(([-1], np.flatnonzero(blank), [len(raw)]))
+    if np.diff(stops).max() <= UNBROKEN:
+        return None
+    since = np.arange(len(raw)) - np.repeat(stops[:-1], np.diff(stops))[1:]
+    return (since >= UNBROKEN) & (raw & 0xC0 != 0x80)
+
+
 def chunk_ends(text: bytes) -> np.ndarray:
     """Ends of the chunks of a text."""
     if not text:
         return np.empty(0, np.int64)
     raw = np.frombuffer(text, np.uint8)
-    ends = np.flatnonzero(_BLANK[raw] & (gear_hashes(raw) < _CUT)) + 1
+    blank, hashes = _BLANK[raw], gear_hashes(raw)
+    found = blank & (hashes < _CUT)
+    free = _unbroken(raw, blank)
+    if free is not None:  # such a chunk ends before its character
+        found[:-1] |= free[1:] & (hashes[:-1] < _CUT // np.uint32(BYTES_PER_WORD))
+    ends = np.flatnonzero(found) + 1
     ends = ends if len(ends) and ends[-1] == len(raw) else np.append(ends, len(raw))
     gaps = np.diff(ends, prepend=0)
     if gaps.max() <= LONGEST:
@@ -77,9 +97,14 @@ def chunk_digests(text: bytes, ends: np.ndarray) -> np.ndarray:
 
 
 def word_sums(text: bytes) -> np.ndarray:
-    """Words that begin before each byte, and in the whole text."""
-    blank = _BLANK[np.frombuffer(text, np.uint8)]
-    return np.concatenate(([0], np.cumsum(~blank & np.concatenate(([True], blank[:-1])))))
+    """Words that begin before each byte, and in the whole text; long stretches without blanks have several."""
+    raw = np.frombuffer(text, np.uint8)
+    blank = _BLANK[raw]
+    begins = ~blank & np.concatenate(([True], blank[:-1]))
+    free = _unbroken(raw, blank) if len(raw) else None
+    if free is not None:
+        begins |= free & (gear_hashes(raw) >= np.uint32((1 << 32) - (1 << 32) // BYTES_PER_WORD))
+    return np.concatenate(([0], np.cumsum(begins)))
 
 
 def sequence_digests(text: bytes, ends: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,19 +131,20 @@ def _new(*columns: np.ndarray) -> np.ndarray:
     return first
 
 
-def _later(digest: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Of rows sorted by all three: which aren't the first occurrence of their digest."""
+def _later(digest: np.ndarray, *occurrence: np.ndarray) -> np.ndarray:
+    """Of rows sorted by all: which aren't the first occurrence of their digest."""
     starts, lengths = _runs(_new(digest))
     first = np.repeat(starts, lengths)
-    return (doc != doc[first]) | (place != place[first])
+    return np.logical_or.reduce([x != x[first] for x in occurrence])
 
 
-def _packed(fragment: int, doc: np.ndarray, place: np.ndarray, digest: np.ndarray) -> tuple:
+def _packed(fragment: int, doc: np.ndarray, text: np.ndarray, place: np.ndarray, digest: np.ndarray) -> tuple:
     """A row for one fragment; entries come sorted by document."""
-    starts, lengths = _runs(_new(doc))
+    starts, lengths = _runs(_new(doc, text))
     return (
         fragment,
         doc[starts].astype("<i8").tobytes(),
+        text[starts].astype("<i8").tobytes(),
         lengths.astype("<u4").tobytes(),
         place.astype("<u4").tobytes(),
         digest.astype("<u8").tobytes(),
@@ -136,35 +162,36 @@ def _chunks(fragments: int):
     def run(batches):
         for batch in small_batches(batches, "t"):
             docs = pc.fill_null(batch.column("k"), _LAST).to_numpy(zero_copy_only=False)
+            hashes = batch.column("x").to_numpy(zero_copy_only=False)
             digests, places, sizes = [], [], []
-            for text in batch.column("t").cast(pa.binary()).to_pylist():
-                ends = chunk_ends(text or b"")
+            for raw in batch.column("t").cast(pa.binary()).to_pylist():
+                ends = chunk_ends(raw or b"")
                 if not len(ends):
                     sizes.append(0)
                     continue
-                own = chunk_digests(text, ends)
-                _, longer = sequence_digests(text, ends, own)
+                own = chunk_digests(raw, ends)
+                _, longer = sequence_digests(raw, ends, own)
                 digests += own, longer
                 places += np.arange(len(own)), np.arange(len(longer)) + _SEQUENCE
                 sizes.append(len(own) + len(longer))
             digest = np.concatenate([*digests, np.empty(0, np.uint64)])
-            doc = np.repeat(docs, sizes)
+            doc, text = np.repeat(docs, sizes), np.repeat(hashes, sizes)
             place = np.concatenate([*places, np.empty(0, np.int64)])
-            order = np.lexsort((place, doc, digest))
-            digest, doc, place = digest[order], doc[order], place[order]
-            later, once = _later(digest, doc, place), _new(digest)
+            order = np.lexsort((place, text, doc, digest))
+            digest, doc, text, place = digest[order], doc[order], text[order], place[order]
+            later, once = _later(digest, doc, text, place), _new(digest)
             rows = []
             for known, keep in ((True, later), (False, once)):
-                g, d, p = digest[keep], doc[keep], place[keep]
-                cut = d % fragments if known else (g >> np.uint64(40)).astype(np.int64) % fragments
-                by = np.lexsort((p, d, cut))
-                g, d, p, cut = g[by], d[by], p[by], cut[by]
+                g, d, x, p = digest[keep], doc[keep], text[keep], place[keep]
+                cut = (d ^ x) % fragments if known else (g >> np.uint64(40)).astype(np.int64) % fragments
+                by = np.lexsort((p, x, d, cut))
+                g, d, x, p, cut = g[by], d[by], x[by], p[by], cut[by]
                 starts, lengths = _runs(_new(cut))
                 for a, n in zip(starts, lengths):
                     name = -1 - int(cut[a]) if known else int(cut[a])
-                    rows.append(_packed(name, d[a : a + n], p[a : a + n], g[a : a + n]))
-            names = ["fragment", "docs", "counts", "places", "digests"]
-            kinds = [pa.int32(), *[pa.binary()] * 4]
+                    rows.append(_packed(name, d[a : a + n], x[a : a + n], p[a : a + n], g[a : a + n]))
+            names = ["fragment", "docs", "texts", "counts", "places", "digests"]
+            kinds = [pa.int32(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_pydict(
                 {n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds))}
             )
@@ -175,25 +202,27 @@ def _chunks(fragments: int):
 def _repeats(table: pa.Table) -> pa.Table:
     """Per document, the chunks and sequences of one fragment that are repeats."""
     fragment = table.column("fragment")[0].as_py()
-    docs, counts, places, digests = (
+    docs, texts, counts, places, digests = (
         np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-        for c, kind in (("docs", "<i8"), ("counts", "<u4"), ("places", "<u4"), ("digests", "<u8"))
+        for c, kind in (("docs", "<i8"), ("texts", "<i8"), ("counts", "<u4"), ("places", "<u4"), ("digests", "<u8"))
     )
-    doc = np.repeat(docs, counts)
+    doc, text = np.repeat(docs, counts), np.repeat(texts, counts)
     if fragment >= 0:
-        order = np.lexsort((places, doc, digests))
-        digests, doc, places = digests[order], doc[order], places[order]
-        later = _later(digests, doc, places)
-        digests, doc, places = digests[later], doc[later], places[later]
-    order = np.lexsort((digests, places, doc))
-    digests, doc, places = digests[order], doc[order], places[order]
-    fresh = _new(doc, places, digests) if len(doc) else np.empty(0, bool)
-    digests, doc, places = digests[fresh], doc[fresh], places[fresh]
-    starts = np.flatnonzero(_new(doc)) if len(doc) else np.empty(0, np.int64)
+        order = np.lexsort((places, text, doc, digests))
+        digests, doc, text, places = digests[order], doc[order], text[order], places[order]
+        later = _later(digests, doc, text, places)
+        digests, doc, text, places = digests[later], doc[later], text[later], places[later]
+    # a document's digest at a place is one, whichever of its rows told it
+    order = np.lexsort((places, text, doc))
+    digests, doc, text, places = digests[order], doc[order], text[order], places[order]
+    fresh = _new(doc, text, places) if len(doc) else np.empty(0, bool)
+    digests, doc, text, places = digests[fresh], doc[fresh], text[fresh], places[fresh]
+    starts = np.flatnonzero(_new(doc, text)) if len(doc) else np.empty(0, np.int64)
     offsets = pa.array(np.append(starts, len(doc)), pa.int32())
     return pa.table(
         {
             "k": pa.array(doc[starts], pa.int64()),
+            "x": pa.array(text[starts], pa.int64()),
             "places": pa.ListArray.from_arrays(offsets, pa.array(places.astype(np.int32))),
             "digests": pa.ListArray.from_arrays(offsets, pa.array(digests.view(np.int64))),
         }
@@ -240,23 +269,24 @@ def dedup_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``cut_spans array<struct<start, end>>`` are byte ranges of the old text, ``cut_bytes`` and
     ``cut_words`` their sums. A passage stays where (id, place) is smallest. Repeats within a document
     count, too. ``doc_id`` is an integer; rows of the same id and text are one document and are cut
-    alike; a null id comes last. A null or empty text stays as it is. Columns that bear one of the new
+    alike, rows of one id with different texts are documents of their own, in the order of a hash of
+    the text; null ids come last and share a rank in the same way. A null or empty text stays as it is. Columns that bear one of the new
     names are replaced, other columns and all rows are kept; an empty table gives none.
     """
     fragments = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.select(F.col(doc_id).cast("long").alias("k"), F.col(text).alias("t"))
+    rows = df.select(F.col(doc_id).cast("long").alias("k"), F.xxhash64(text).alias("x"), F.col(text).alias("t"))
     packed = rows.mapInArrow(
-        _chunks(fragments), "fragment int, docs binary, counts binary, places binary, digests binary"
+        _chunks(fragments), "fragment int, docs binary, texts binary, counts binary, places binary, digests binary"
     )
-    found = packed.groupBy("fragment").applyInArrow(_repeats, "k long, places array<int>, digests array<long>")
+    found = packed.groupBy("fragment").applyInArrow(_repeats, "k long, x long, places array<int>, digests array<long>")
     repeats = stored(
-        found.groupBy(F.col("k").alias("_repeat_of")).agg(
+        found.groupBy(F.col("k").alias("_repeat_of"), F.col("x").alias("_repeat_text")).agg(
             F.flatten(F.collect_list("places")).alias("_places"), F.flatten(F.collect_list("digests")).alias("_digests")
         )
     )
-    new = {"cut_spans": "array<struct<start: int, end: int>>", "cut_bytes": "long", "cut_words": "long"}
-    schema = schema_with(df, **new)
-    joined = df.join(repeats, F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)) == F.col("_repeat_of"), "left")
+    schema = schema_with(df, **NEW_COLUMNS)
+    own = (F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)) == F.col("_repeat_of")) & (F.xxhash64(text) == F.col("_repeat_text"))
+    joined = df.join(repeats, own, "left")
 
     def run(batches):
         for batch in small_batches(batches, text):

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, StringType, StructField, StructType
 
 from tidelake.functions import kernels
 from tidelake.functions.content import draw
@@ -201,6 +201,22 @@ def split_invalid(images: DataFrame, image: str = "image") -> tuple[DataFrame, D
     return images.filter(usable), images.filter(~usable).withColumn("reason", reason)
 
 
+def _decode(decoder: Callable[[bytes], np.ndarray], data: bytes | None) -> np.ndarray | None:
+    """A picture, or None for what the decoder can't read or no kernel takes."""
+    try:
+        picture = np.asarray(decoder(data), np.uint8)
+    except Exception:  # whatever the caller's code raises
+        return None
+    return picture if picture.ndim == 3 and picture.shape[-1] in MODES and picture.size else None
+
+
+def _encode(encoder: Callable[[np.ndarray], bytes], picture: np.ndarray) -> tuple[bytes | None, str | None]:
+    try:
+        return encoder(picture), None
+    except Exception as error:  # whatever the caller's code raises is the picture's reason
+        return None, f"{type(error).__name__}: {error}"
+
+
 def decode_images(
     df: DataFrame, decoder: Callable[[bytes], np.ndarray], blob: str = "image"
 ) -> DataFrame:
@@ -209,15 +225,9 @@ def decode_images(
     What cannot be decoded gets height -1; the rest of the batch goes on.
     """
 
-    def decoded(data: bytes | None):
-        try:
-            return np.asarray(decoder(data), np.uint8)
-        except Exception:
-            return None
-
     def work(batches):
         for batch in _slices(batches, SLICE):
-            pictures = [decoded(data) for data in batch.column(blob).to_pylist()]
+            pictures = [_decode(decoder, data) for data in batch.column(blob).to_pylist()]
             origins = pa.nulls(batch.num_rows, pa.string())
             yield _with(batch, {blob: _pack(pictures, origins)})
 
@@ -230,8 +240,15 @@ def standardise_images(
     digest: Column | str = "content_hash",
     seed: int = 0,
     image: str = "image",
+    decoder: Callable[[bytes], np.ndarray] | None = None,
+    encoder: Callable[[np.ndarray], bytes] | None = None,
 ) -> DataFrame:
-    """Run the steps over each picture in one pass. Adds ``error``, null for a usable picture."""
+    """Run the steps over each picture in one pass. Adds ``error``, null for a usable picture.
+
+    With a ``decoder`` the column holds bytes, with an ``encoder`` (``uint8[h, w, c]`` RGB to bytes) it
+    holds bytes afterwards: decoding, steps and encoding are the same pass over slices of eight
+    pictures, so decoded pixels never leave the task. What can't be encoded has no bytes and an ``error``.
+    """
     steps = default_steps() if steps is None else steps
     digest = F.col(digest) if isinstance(digest, str) else digest
     names = [name for step in steps for name in step.draws]
@@ -241,16 +258,22 @@ def standardise_images(
     def work(batches):
         for batch in _slices(batches, SLICE):
             column = batch.column(image)
-            pictures, reasons = _unpack(column)
+            if decoder:
+                pictures = [_decode(decoder, data) for data in column.to_pylist()]
+                reasons, origins = ["undecodable" if p is None else None for p in pictures], pa.nulls(batch.num_rows, pa.string())
+            else:
+                (pictures, reasons), origins = _unpack(column), column.flatten()[0]
             draws = batch.column("_draws").flatten().to_numpy(zero_copy_only=False)
             done = _run(steps, pictures, draws.reshape(batch.num_rows, len(names)))
-            yield _with(
-                batch,
-                {image: _pack(done, column.flatten()[0]), "error": pa.array(reasons, pa.string())},
-                drop=("_draws",),
-            )
+            if encoder:
+                coded = [_encode(encoder, p) if r is None else (None, r) for p, r in zip(done, reasons)]
+                packed, reasons = pa.array([c[0] for c in coded], pa.binary()), [c[1] for c in coded]
+            else:
+                packed = _pack(done, origins)
+            yield _with(batch, {image: packed, "error": pa.array(reasons, pa.string())}, drop=("_draws",))
 
-    return source.mapInArrow(work, _schema(df, **{image: IMAGE, "error": StringType()}))
+    kind = BinaryType() if encoder else IMAGE
+    return source.mapInArrow(work, _schema(df, **{image: kind, "error": StringType()}))
 
 
 def image_vectors(df: DataFrame, mean=None, std=None, image: str = "image") -> DataFrame:
@@ -293,18 +316,31 @@ def label_images(
     batch: int = 8,
     size: int | None = 256,
     image: str = "image",
+    decoder: Callable[[bytes], np.ndarray] | None = None,
 ) -> DataFrame:
     """Add ``mask``: the class with the highest score for each pixel, first class on a tie.
 
     ``model_factory`` is called in each task and returns ``f(float[b, 3, h, w]) -> float[b, c, h, w]``.
     Pictures are resized to ``size`` (None keeps the size; a batch must then be of one size).
-    Unusable pictures are left out of the batch and get a null mask and an ``error``.
+    Unusable pictures are left out of the batch and get a null mask and an ``error``. Where the model
+    raises, the batch is tried again picture by picture, and those that it fails on get its reason.
+    With a ``decoder`` the pictures are encoded bytes, and are decoded in the same pass.
     """
 
+    def scored(model, stack):
+        scores = np.asarray(model(kernels.model_input(stack)))
+        if scores.ndim != 4 or len(scores) != len(stack):
+            raise ValueError(f"the model gave scores of shape {scores.shape}")
+        return scores.argmax(axis=1).astype(np.uint8)
+
     def work(batches):
         model = model_factory()
         for part in _slices(batches, batch):
-            pictures, reasons = _unpack(part.column(image))
+            if decoder:
+                pictures = [_decode(decoder, data) for data in part.column(image).to_pylist()]
+                reasons, origins = ["undecodable" if p is None else None for p in pictures], pa.nulls(part.num_rows, pa.string())
+            else:
+                (pictures, reasons), origins = _unpack(part.column(image)), part.column(image).flatten()[0]
             masks: list = [None] * len(pictures)
             resized = {
                 i: kernels.resize(kernels.to_rgb(p[None]), size, size)[0] if size else kernels.to_rgb(p[None])[0]
@@ -312,10 +348,18 @@ def label_images(
                 if p is not None
             }
             for at, stack in _by_shape(resized):
-                best = np.asarray(model(kernels.model_input(stack))).argmax(axis=1)
-                for i, classes in zip(at, best.astype(np.uint8)):
+                try:
+                    found = dict(zip(at, scored(model, stack)))
+                except Exception:  # one picture may spoil the batch
+                    found = {}
+                    for n, i in enumerate(at):
+                        try:
+                            found[i] = scored(model, stack[n : n + 1])[0]
+                        except Exception as error:  # whatever the model raises is the picture's reason
+                            reasons[i] = f"{type(error).__name__}: {error}"
+                for i, classes in found.items():
                     masks[i] = classes[..., None]
-            packed = _pack(masks, part.column(image).flatten()[0])
+            packed = _pack(masks, origins)
             missing = pa.array([m is None for m in masks])
             packed = pa.StructArray.from_arrays(packed.flatten(), fields=list(ARROW_IMAGE), mask=missing)
             yield _with(part, {"mask": packed, "error": pa.array(reasons, pa.string())})

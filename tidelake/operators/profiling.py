@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -16,9 +17,12 @@ def _chosen(key: Column, share: float) -> Column:
 
     0 chooses none and 1 all. A null key is a key like others.
     """
+    limit = math.ceil(float(share) * 16.0**12)
+    if limit <= 0 or limit >= 16**12:
+        return F.lit(limit > 0)
     text = F.coalesce(key.cast("string"), F.lit("")).cast("binary")
-    number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double")
-    return number < F.lit(float(share) * 16.0**12)
+    # digits of equal number compare as text
+    return F.substring(F.md5(text), 1, 12) < f"{limit:012x}"
 
 
 def sample_by_hash(df: DataFrame, key: Column, share: float = 0.01) -> DataFrame:

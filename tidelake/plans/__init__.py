@@ -8,6 +8,7 @@ _MODULES = [
     "stream_queries",
     "quality_queries",
     "model_queries",
+    "lake_queries",
 ]
 
 

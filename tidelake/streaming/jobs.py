@@ -1,7 +1,8 @@
 """The lake's jobs: raw to staged, staged to labelled, and the two exports.
 
-The streaming jobs read what is new and end (``availableNow``); a scheduler starts them again. Each
-micro-batch writes partitions named after the batch, so a replayed batch replaces itself.
+The jobs read what is new and end; a scheduler starts them again. Each batch writes partitions named
+after the batch, so a replayed batch replaces itself. Staging runs as a stream, which stops at a
+batch that fails, or by files, where a batch that fails is halved until the bad file is found.
 """
 
 from __future__ import annotations
@@ -12,21 +13,24 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType, TimestampType
 
 from tidelake import schema
 from tidelake.functions.content import batch_id, content_hash, export_name, is_present
 from tidelake.operators import images
+from tidelake.operators import known as known_contents
 from tidelake.operators.ledger import (
     file_counts,
+    file_parts,
     first_occurrence,
     keep_rows,
-    new_content,
+    last_batch,
     unprocessed,
 )
 from tidelake.session import stored
+from tidelake.sinks import folders
 from tidelake.sinks.files import export_files, missing_files
-from tidelake.sinks.tables import record_exports, record_files, replace_by_source
+from tidelake.sinks.tables import append, record_exports, record_files, replace_by_source
 from tidelake.sources.files import file_inventory, source_path
 from tidelake.sources.streams import table_stream
 
@@ -44,6 +48,26 @@ STAGED = StructType(
 
 VERSIONS = StructType([StructField("batch_id", StringType()), StructField("version", TimestampType())])
 
+#: What an export has taken: a batch as it was at ``version``, and the ledger's newest batch after that.
+EXPORTED = StructType([*VERSIONS, StructField("last_batch", StringType())])
+
+#: Files that made a batch fail, once for each attempt, and those that are not tried any more.
+ATTEMPTS = StructType(
+    [
+        StructField("file_path", StringType()),
+        StructField("error", StringType()),
+        StructField("at", TimestampType()),
+        StructField("batch_id", StringType()),
+    ]
+)
+DEAD = StructType([StructField("file_path", StringType()), StructField("attempts", LongType()), StructField("error", StringType())])
+
+#: Files of a batch, written down before it is worked on.
+PLANNED = StructType([StructField("file_path", StringType()), StructField("batch_id", StringType())])
+
+#: Staged batches that an export reads at a time.
+BATCHES_PER_EXPORT = 1000
+
 #: Input of one micro-batch; the cluster's parallelism comes from its bytes.
 BYTES_PER_BATCH = 100 << 30
 
@@ -69,6 +93,34 @@ def incremental(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def staged_schema(encoded: bool = False) -> StructType:
+    """Columns of the staged table; with an encoder its pictures are bytes."""
+    return StructType([StructField("image", BinaryType()) if encoded and f.name == "image" else f for f in STAGED])
+
+
+def _raw_columns(decoder: Callable | None) -> StructType:
+    return schema.RAW if decoder else StructType([StructField("image", schema.IMAGE)])
+
+
+def _stage(rows: DataFrame, files: DataFrame, name: str, staged: str, ledger: str, steps, decoder, encoder, seed: int) -> None:
+    """Standardise a batch in one pass, write it below its name, and record its files."""
+    spark = rows.sparkSession
+    rows = rows.filter(is_present(F.col("image")))
+    blob = F.col("image") if decoder else F.col("image.data")
+    ready = images.standardise_images(
+        rows.withColumn("content_hash", content_hash(blob)), steps, seed=seed, decoder=decoder, encoder=encoder
+    )
+    # a first attempt may have left a side that has no rows this time
+    folder = folders.partition(spark, staged, batch_id=name)
+    folders.remove(spark, folder)
+    replace_by_source(
+        ready.withColumns({"batch_id": F.lit(name), "valid": F.col("error").isNull()}), staged, ["batch_id", "valid"]
+    )
+    # only this batch's folder is listed; without a usable row it may not have been written at all
+    written = read_or_empty(spark, folder, staged_schema(encoder is not None), base=staged)
+    record_files(file_counts(files, written.filter("valid")), F.lit(name), F.current_timestamp(), ledger, files=1)
+
+
 def stage_raw(
     spark: SparkSession,
     raw: str,
@@ -80,16 +132,17 @@ def stage_raw(
     files_per_batch: int | None = None,
     seed: int = 0,
     bytes_per_batch: int = BYTES_PER_BATCH,
+    encoder: Callable | None = None,
 ) -> None:
     """Standardise new pictures of the raw table and write the file ledger.
 
-    With a ``decoder`` the raw table holds encoded bytes, else decoded pictures. Unusable pictures
-    go to the ``valid=false`` side of the staged batch with their reason. Each picture is read and
-    worked on once; the counts come from what was written.
+    With a ``decoder`` the raw table holds encoded bytes, else decoded pictures; with an ``encoder`` the
+    staged table holds encoded bytes. Unusable pictures go to the ``valid=false`` side of the staged
+    batch with their reason. Each picture is read and worked on once, in one pass; the counts come from
+    what was written.
     """
-    columns = schema.RAW if decoder else StructType([StructField("image", schema.IMAGE)])
     listed = stored(file_inventory(spark, raw).select(F.col("file_path").alias("source_file")))
-    stream = table_stream(spark, raw, columns, files_per_batch, bytes_per_batch=bytes_per_batch).select(
+    stream = table_stream(spark, raw, _raw_columns(decoder), files_per_batch, bytes_per_batch=bytes_per_batch).select(
         "image",
         source_path().alias("source_file"),
         F.col("_metadata.row_index").alias("row_index"),
@@ -104,22 +157,7 @@ def stage_raw(
         if newest is None:
             return
         name = spark.range(1).select(batch_id(F.lit(newest), F.lit(number))).first()[0]
-        rows = batch.drop("_modified").filter(is_present(F.col("image")))
-        if decoder:
-            rows = rows.withColumn("content_hash", content_hash(F.col("image")))
-            rows = images.decode_images(rows, decoder)
-        else:
-            rows = rows.withColumn("content_hash", content_hash(F.col("image.data")))
-        ready = images.standardise_images(rows, steps, seed=seed)
-        replace_by_source(
-            ready.withColumns({"batch_id": F.lit(name), "valid": F.col("error").isNull()}),
-            staged,
-            ["batch_id", "valid"],
-        )
-        # only this batch's folder is listed; without a usable row it may not have been written at all
-        written = read_or_empty(spark, f"{staged}/batch_id={name}", STAGED, base=staged)
-        done = written.filter("valid")
-        record_files(file_counts(files, done), F.lit(name), F.current_timestamp(), ledger, files=1)
+        _stage(batch.drop("_modified"), files, name, staged, ledger, steps, decoder, encoder, seed)
 
     incremental(stream, work, checkpoint).awaitTermination()
     # files without rows are never seen by the stream, but this run has read all that were listed
@@ -130,6 +168,91 @@ def stage_raw(
     record_files(stored(empty), F.lit(f"no_rows_{uuid.uuid4().hex}"), F.current_timestamp(), ledger)
 
 
+def stage_files(
+    spark: SparkSession,
+    raw: str,
+    staged: str,
+    ledger: str,
+    attempts: str,
+    steps: list[images.Step] | None = None,
+    decoder: Callable | None = None,
+    files_per_batch: int = 10,
+    max_attempts: int = 3,
+    seed: int = 0,
+    encoder: Callable | None = None,
+) -> None:
+    """As ``stage_raw``, batch by batch of files that the ledger doesn't know, whatever becomes of a batch.
+
+    A batch that fails is halved, and each half tried, down to the file that is to blame; all others
+    are staged in this run. The file gets a row in ``attempts`` and is tried again by the next run, until
+    it has ``max_attempts``; then it goes to ``<attempts>_dead`` with its last error and is left alone.
+    Removing it there lets it in again, with a clean slate after ``attempts`` was cleared, too.
+
+    Which files make up a batch is written to ``<attempts>_planned`` before the work begins: a run
+    that was interrupted between a batch and its ledger rows does the same batch again under the same
+    name, and so replaces it.
+    """
+    planned, dead = (f"{attempts.rstrip('/')}_{n}" for n in ("planned", "dead"))
+    run = uuid.uuid4().hex
+    left = _unstaged(spark, ledger, dead)
+    plan = read_or_empty(spark, planned, PLANNED)
+    again = stored(left(plan))
+    # batches that were interrupted, and files that failed alone, keep their names
+    listed = file_inventory(spark, raw).select("file_path")
+    new = left(listed).join(again.select("file_path"), "file_path", "left_anti")
+    as_of = spark.range(1).select(batch_id(F.current_timestamp())).first()[0]
+    parts = file_parts(new, "file_path", files_per_batch).select(
+        "file_path", F.concat(F.lit(f"{as_of}_{run[:8]}_part_"), "part").alias("batch_id")
+    )
+    fresh = stored(parts)
+    replace_by_source(fresh, planned, "batch_id")
+    batches = stored(again.unionByName(fresh))
+    names = [r["batch_id"] for r in batches.select("batch_id").distinct().orderBy(F.length("batch_id"), "batch_id").collect()]
+
+    def work(files: list[str], name: str) -> None:
+        """One batch; a failure is the batch's own."""
+        try:
+            rows = spark.read.schema(_raw_columns(decoder)).parquet(*files).select(
+                "image", source_path().alias("source_file"), F.col("_metadata.row_index").alias("row_index")
+            )
+            known = spark.createDataFrame([(f,) for f in files], "source_file string")
+            _stage(rows, known, name, staged, ledger, steps, decoder, encoder, seed)
+        except Exception as error:  # whatever a file or the caller's code raises
+            folders.remove(spark, folders.partition(spark, staged, batch_id=name))
+            if len(files) > 1:
+                half = len(files) // 2
+                parts = {f"{name}_{side}": own for side, own in (("a", files[:half]), ("b", files[half:]))}
+                # from now on the halves are the plan
+                for part, own in parts.items():
+                    replace_by_source(spark.createDataFrame([(f, part) for f in own], PLANNED).coalesce(1), planned, "batch_id")
+                folders.remove(spark, folders.partition(spark, planned, batch_id=name))
+                for part, own in parts.items():
+                    work(own, part)
+                return
+            row = spark.createDataFrame([(files[0], f"{type(error).__name__}: {error}"[:2000], f"{name}_{run}")], "file_path string, error string, batch_id string")
+            failed = row.select("file_path", "error", F.current_timestamp().alias("at"), "batch_id")
+            replace_by_source(failed.coalesce(1), attempts, "batch_id")
+
+    for name in names:
+        work([r["file_path"] for r in batches.filter(F.col("batch_id") == name).orderBy("file_path").collect()], name)
+    tried = read_or_empty(spark, attempts, ATTEMPTS).groupBy("file_path").agg(
+        F.count("*").alias("attempts"), F.max_by("error", "at").alias("error")
+    )
+    hopeless = left(tried.filter(F.col("attempts") >= max_attempts))
+    append(stored(hopeless).coalesce(1), dead)
+
+
+def _unstaged(spark: SparkSession, ledger: str, dead: str) -> Callable[[DataFrame], DataFrame]:
+    """Rows whose file is neither in the ledger nor given up."""
+
+    def left(files: DataFrame) -> DataFrame:
+        done = read_or_empty(spark, ledger, schema.FILE_LEDGER).select("file_path")
+        gone = read_or_empty(spark, dead, DEAD).select("file_path")
+        return files.join(done.unionByName(gone), "file_path", "left_anti")
+
+    return left
+
+
 def label_staged(
     spark: SparkSession,
     staged: str,
@@ -140,13 +263,16 @@ def label_staged(
     size: int | None = 256,
     files_per_batch: int | None = None,
     bytes_per_batch: int = BYTES_PER_BATCH,
+    decoder: Callable | None = None,
 ) -> None:
     """Label staged batches that are new or were written again, each once per version.
 
     A version is the time of the batch's newest file; ``checkpoint`` keeps those that are done. Pictures
-    that the model fails on are kept in ``<labelled>_failed`` with the reason.
+    that the model fails on are kept in ``<labelled>_failed`` with the reason. With a ``decoder`` the staged
+    pictures are encoded bytes.
     """
-    stream = table_stream(spark, staged, STAGED, files_per_batch, bytes_per_batch=bytes_per_batch).select("batch_id", "valid")
+    columns = staged_schema(decoder is not None)
+    stream = table_stream(spark, staged, columns, files_per_batch, bytes_per_batch=bytes_per_batch).select("batch_id", "valid")
     log = f"{checkpoint.rstrip('/')}_versions"
 
     def work(part: DataFrame, _: int) -> None:
@@ -156,18 +282,21 @@ def label_staged(
         names = [r["batch_id"] for r in part.filter("valid").select("batch_id").distinct().collect()]
         if not names:
             return
-        folders = [f"{staged}/batch_id={name}" for name in names]
-        whole = spark.read.schema(STAGED).option("basePath", staged).parquet(*folders).filter("valid")
+        whole = _batches(spark, staged, names, columns).filter("valid")
         versions = whole.groupBy("batch_id").agg(F.max("_metadata.file_modification_time").alias("version"))
         fresh = stored(versions.join(read_or_empty(spark, log, VERSIONS), ["batch_id", "version"], "left_anti"))
         names = [r["batch_id"] for r in fresh.collect()]
         if not names:
             return
         whole = whole.filter(F.col("batch_id").isin(names))
-        found = images.label_images(whole.drop("valid", "error"), model_factory, batch, size)
+        found = images.label_images(whole.drop("valid", "error"), model_factory, batch, size, decoder=decoder)
         # the model runs once; both sides are read from what it gave
         labels = stored(found)
         failed = labels.filter(F.col("error").isNotNull()).select("content_hash", "source_file", "row_index", "error", "batch_id")
+        # a batch that is labelled again may have no failures, or no labels, this time
+        for name in names:
+            for table in (labelled, f"{labelled.rstrip('/')}_failed"):
+                folders.remove(spark, folders.partition(spark, table, batch_id=name))
         replace_by_source(failed, f"{labelled.rstrip('/')}_failed", "batch_id")
         replace_by_source(
             labels.filter(F.col("error").isNull()).select(
@@ -185,20 +314,42 @@ def label_staged(
     incremental(stream, work, checkpoint).awaitTermination()
 
 
+def _batches(spark: SparkSession, path: str, names: list[str], columns: StructType | None = None) -> DataFrame:
+    """Rows of some batches of a table; no other folder is listed."""
+    own = [folders.partition(spark, path, batch_id=name) for name in names]
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(columns) if columns else reader).parquet(*own).withColumn("batch_id", F.col("batch_id").cast("string"))
+
+
+def new_versions(spark: SparkSession, table: str, log: str) -> DataFrame:
+    """(batch_id, version) of batches that ``log`` doesn't have as they are now; only names are read.
+
+    A version is the time of the batch's newest file.
+    """
+    files = file_inventory(spark, table, recursive=True).filter("file_size > 0")
+    name = F.url_decode(F.replace(F.regexp_extract("file_path", "/batch_id=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
+    versions = files.groupBy(name.alias("batch_id")).agg(F.max("modified_at").alias("version")).filter("batch_id <> ''")
+    return versions.join(read_or_empty(spark, log, EXPORTED).select("batch_id", "version"), ["batch_id", "version"], "left_anti")
+
+
 def _fresh(
     rows: DataFrame, folder: str, ledger: str, prefix: str, digits: int
 ) -> DataFrame:
     """Places of contents that are in neither the ledger nor the folder.
 
-    Only digests and places are read and shuffled here, never pixels.
+    Only digests and places are read and shuffled here, never pixels, and of the ledger only what
+    the digests' prefixes name.
     """
     spark = rows.sparkSession
-    known = read_or_empty(spark, ledger, schema.EXPORT_LEDGER)
+    index = f"{ledger.rstrip('/')}_digests"
+    if folders.exists(spark, ledger) and not folders.exists(spark, index):  # a ledger from before there was an index
+        old = spark.read.schema(schema.EXPORT_LEDGER).parquet(ledger)
+        known_contents.remember(old.withColumnRenamed("file_hash", "content_hash"), index, "before")
     first = first_occurrence(rows, "content_hash", PLACE)
-    named = new_content(first, known, "content_hash", "file_hash").withColumn(
+    named = known_contents.unseen(first, index).withColumn(
         "file_name", export_name(F.col("content_hash"), prefix, digits)
     )
-    return stored(missing_files(named.select(*PLACE, "file_name"), folder).select(*PLACE))
+    return stored(missing_files(named.select("content_hash", *PLACE, "file_name"), folder).select("content_hash", *PLACE))
 
 
 def export_images(
@@ -206,12 +357,22 @@ def export_images(
     staged: str,
     folder: str,
     ledger: str,
-    encoder: Callable,
+    encoder: Callable | None,
     digits: int = 32,
+    batches_per_export: int = BATCHES_PER_EXPORT,
 ) -> None:
-    """Write each new staged content once as a file, and record what was written."""
-    rows = spark.read.schema(STAGED).parquet(staged).filter("valid")
-    _export(rows, folder, ledger, encoder, "img", digits, overlay=None)
+    """Write each new staged content once as a file, and record what was written.
+
+    Only batches that are new, or were written again since, are read; ``<ledger>_versions`` keeps
+    those that are done. A batch with a failure is not done and comes again. Without an ``encoder`` the
+    staged table holds encoded bytes, and they are the file.
+    """
+    columns = staged_schema(encoder is None)
+
+    def rows(names: list[str]) -> DataFrame:
+        return _batches(spark, staged, names, columns).filter("valid")
+
+    _export(spark, staged, rows, folder, ledger, encoder, "img", digits, None, batches_per_export)
 
 
 def export_overlays(
@@ -222,29 +383,50 @@ def export_overlays(
     encoder: Callable,
     alpha: float = 0.4,
     digits: int = 32,
+    batches_per_export: int = BATCHES_PER_EXPORT,
 ) -> None:
-    """Write the overlay of each new labelled content once as a file, and record it."""
-    rows = spark.read.parquet(labelled)
-    if not schema.require_columns(rows, ["image", "mask"]):
+    """Write the overlay of each new labelled content once as a file, and record it; batches as in ``export_images``."""
+    if not schema.require_columns(spark.read.parquet(labelled), ["image", "mask"]):
         return
-    rows = rows.filter(
-        is_present(F.col("image.data"), allow_empty=False)
-        & is_present(F.col("mask.data"), allow_empty=False)
-    ).select("image", "mask", "content_hash", "batch_id", "metadata.*")
-    _export(rows, folder, ledger, encoder, "marked", digits, overlay=alpha)
 
+    def rows(names: list[str]) -> DataFrame:
+        return _batches(spark, labelled, names).filter(
+            is_present(F.col("image.data"), allow_empty=False)
+            & is_present(F.col("mask.data"), allow_empty=False)
+        ).select("image", "mask", "content_hash", "batch_id", "metadata.*")
 
-def _export(rows, folder, ledger, encoder, prefix, digits, overlay) -> None:
-    places = _fresh(rows, folder, ledger, prefix, digits)
-    chosen = keep_rows(rows, places, PLACE).withColumn(
-        "file_name", export_name(F.col("content_hash"), prefix, digits)
-    )
-    if overlay is not None:
-        chosen = images.overlay_masks(chosen, overlay)
-    tried = stored(export_files(chosen, folder, "image", encoder=encoder))
-    as_of = F.current_timestamp()
-    # two runs of one second are two batches
-    batch = F.concat(F.date_format(as_of, "yyyyMMdd_HHmmss"), F.lit(f"_{uuid.uuid4().hex}"))
-    record_exports(tried.filter("error is null"), batch, as_of, ledger)
-    failed = tried.filter("error is not null").select("content_hash", "source_file", "error", batch.alias("batch_id"))
-    replace_by_source(failed, f"{ledger.rstrip('/')}_failed", "batch_id")
+    _export(spark, labelled, rows, folder, ledger, encoder, "marked", digits, alpha, batches_per_export)
+
+
+def _export(spark, table, rows_of, folder, ledger, encoder, prefix, digits, overlay, at_a_time) -> None:
+    log = f"{ledger.rstrip('/')}_versions"
+    due = stored(new_versions(spark, table, log))
+    while True:
+        # the oldest first; the places of so many batches are few enough to be broadcast to their pictures
+        left = due.join(read_or_empty(spark, log, EXPORTED).select("batch_id", "version"), ["batch_id", "version"], "left_anti")
+        group = stored(left.orderBy("version", "batch_id").limit(at_a_time))
+        names = [r["batch_id"] for r in group.collect()]
+        if not names:
+            return
+        rows = rows_of(names)
+        places = _fresh(rows, folder, ledger, prefix, digits)
+        chosen = keep_rows(rows, places.drop("content_hash"), PLACE).withColumn(
+            "file_name", export_name(F.col("content_hash"), prefix, digits)
+        )
+        if overlay is not None:
+            chosen = images.overlay_masks(chosen, overlay)
+        tried = stored(export_files(chosen, folder, "image", encoder=encoder))
+        as_of = F.current_timestamp()
+        # two runs of one second are two batches
+        mark = uuid.uuid4().hex
+        batch = F.concat(F.date_format(as_of, "yyyyMMdd_HHmmss"), F.lit(f"_{mark}"))
+        done = tried.filter("error is null")
+        record_exports(done, batch, as_of, ledger)
+        known_contents.remember(done, f"{ledger.rstrip('/')}_digests", mark)
+        failed = tried.filter("error is not null").select("content_hash", "source_file", "error", batch.alias("batch_id"))
+        replace_by_source(failed, f"{ledger.rstrip('/')}_failed", "batch_id")
+        spoilt = places.join(failed.select("content_hash"), "content_hash", "left_semi").select("batch_id").distinct()
+        newest = last_batch(read_or_empty(spark, ledger, schema.EXPORT_LEDGER)).first()[0]
+        finished = group.join(spoilt, "batch_id", "left_anti").withColumn("last_batch", F.lit(newest).cast("string"))
+        append(finished, log, files=1)
+        due = due.join(spoilt, "batch_id", "left_anti")  # they come again in the next run

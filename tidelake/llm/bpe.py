@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tidelake.llm.common import schema_with, small_batches, texts_of, with_columns, worker_cache
+from tidelake.llm.common import give_back, schema_with, small_batches, texts_of, with_columns, worker_cache
 from tidelake.llm.mph import PerfectHash
 from tidelake.llm.pretokens import Memo, Pieces
 
@@ -172,6 +172,7 @@ def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "
         for batch in small_batches(batches, text):
             coded = _encoded(ids_of, texts_of(batch, text))
             yield with_columns(batch, {ids: coded, out: _decoded(found, coded)}).select(schema.names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

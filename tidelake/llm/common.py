@@ -32,14 +32,19 @@ def worker_cache(owner: str) -> dict:
     Workers are reused: when another operator's task begins, what the one before remembered goes, and
     its memory goes back to the system.
     """
-    if any(_caches.pop(name, None) for name in [n for n in _caches if n != owner]):
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with suppress(OSError, AttributeError):  # not every C library has it
-            ctypes.CDLL(None).malloc_trim(0)
+    if any([_caches.pop(name) for name in list(_caches) if name != owner]):
+        give_back()
     return _caches.setdefault(owner, {})
 
 
+def give_back() -> None:
+    """Return the memory that a worker has freed to the system, at the end of a task's work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Let no Arrow batch of the session exceed ``BATCH_BYTES``, unless one row does."""
     number, unit = re.match(r"(\d+)\s*([kmg]?)", spark.conf.get(_BATCH_OPTION).lower()).groups()

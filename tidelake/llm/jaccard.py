@@ -4,7 +4,7 @@ The order of all shingles is cut into fragments. One shuffle brings the shingles
 together, where those that occur in one set only are dropped; the counts of the rest are summed per set,
 and a set whose shared shingles can't reach the threshold leaves the join. What stays is ordered by
 frequency, and sets meet on the few rarest shingles that a link can't avoid (prefix filter). This order
-is cut into ranges of equal weight; the overlap of a candidate pair is counted range by range and the
+is cut into ranges; the overlap of a candidate pair is counted range by range and the
 partial counts are summed per pair.
 
 Pairs are not enumerated within a group. Equal sets are one class. In turns, one class of a bucket,
@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.common import kept, small_batches
+from tidelake.llm.common import give_back, kept, small_batches, worker_cache
 from tidelake.llm.components import components
 from tidelake.llm.shingles import set_hash, shingle_set
 
@@ -35,8 +35,8 @@ LOW_BITS = 48
 RARE = 10
 #: Turns before all pairs that are left are compared; no link depends on their number.
 TURNS = 2
-#: Ranges of the global order of shingles in which a pair's overlap is counted.
-PAIR_FRAGMENTS = 4
+#: The order of shingles by frequency is cut behind these: a pair's overlap is counted range by range.
+BORDERS = (2, 8, 64)
 #: Bits in a set's sketch: by how many of them two sets differ at least, so many shingles they don't share.
 SKETCH_BITS = 4096
 
@@ -75,6 +75,7 @@ def _cut(key: str, text: str, fragments: int, columns: list[str]):
     """
 
     def run(batches):
+        worker_cache("jaccard")
         for batch in small_batches(batches, text):
             sets: dict[int, np.ndarray] = {}
             members: list[tuple[int | None, int]] = []
@@ -131,6 +132,7 @@ def _cut(key: str, text: str, fragments: int, columns: list[str]):
                     **{c: pa.array([None] * m + rows[c], pa.binary()) for c in ("owners", "counts", "tokens", "shared")},
                 }
             ).select(columns)
+        give_back()
 
     return run
 
@@ -303,10 +305,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     token_rows = kept(
         shared.join(able, "set").select("set", "n", F.explode("tokens").alias("token")).distinct()
     )
-    frequency = kept(token_rows.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"))
-    # the order is cut where a frequency begins, into ranges that hold equally many entries
-    cuts = frequency.agg(F.percentile("f", [i / PAIR_FRAGMENTS for i in range(1, PAIR_FRAGMENTS)], F.col("f"))).first()[0] or []
-    borders = sorted(set(map(float, cuts)))
+    frequency = token_rows.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
     sets = kept(
         token_rows.join(frequency, "token")
         .groupBy("set", "n")
@@ -317,7 +316,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             "n",
             F.col("t.token").alias("tokens"),
             # where each range of the order begins among them
-            F.array(F.lit(0), *[F.size(F.expr(f"filter(t, x -> x.f <= {b})")) for b in borders], F.size("t")).alias("starts"),
+            F.array(F.lit(0), *[F.size(F.expr(f"filter(t, x -> x.f <= {b})")) for b in BORDERS], F.size("t")).alias("starts"),
             # how many sets share even the rare shingles of this one: many, if others were made from it
             F.coalesce(F.get("t", (F.floor(F.col("n") / RARE) - F.col("n") + F.size("t")).cast("int"))["f"], F.lit(1)).alias("wide"),
         )
@@ -335,7 +334,7 @@ def near_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         ).select("set", "n", "m", "wide", "token", (F.col("alone") + F.col("i")).alias("at"))
     )
     parts = sets.select(
-        "set", "n", "tokens", "starts", F.explode(F.sequence(F.lit(0), F.lit(len(borders)))).alias("part")
+        "set", "n", "tokens", "starts", F.explode(F.sequence(F.lit(0), F.lit(len(BORDERS)))).alias("part")
     ).select(
         "set", "n", "part", F.expr("slice(tokens, starts[part] + 1, starts[part + 1] - starts[part])").alias("tokens")
     )

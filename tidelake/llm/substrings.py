@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.llm.common import schema_with, small_batches, with_columns
+from tidelake.llm.common import give_back, schema_with, small_batches, with_columns, worker_cache
 from tidelake.session import stored
 
 #: A run of repeated chunks is cut out from so many words on. A passage of more than 50 words loses
@@ -27,6 +27,8 @@ LEAST_WORDS = 20
 WORDS_PER_CHUNK = 4
 #: A chunk ends after so many bytes at the latest, at the border of a character.
 LONGEST = 512
+#: Bytes of text whose chunks are compared with each other before they are sent.
+SLICE_BYTES = 4 << 20
 #: Bytes that the rolling hash looks at.
 WINDOW = 32
 #: Where no blank has come for so many bytes, a chunk may end at any character, and one byte in
@@ -160,7 +162,8 @@ def _chunks(fragments: int):
     """
 
     def run(batches):
-        for batch in small_batches(batches, "t"):
+        worker_cache("substrings")
+        for batch in small_batches(batches, "t", SLICE_BYTES):
             docs = pc.fill_null(batch.column("k"), _LAST).to_numpy(zero_copy_only=False)
             hashes = batch.column("x").to_numpy(zero_copy_only=False)
             digests, places, sizes = [], [], []
@@ -195,6 +198,7 @@ def _chunks(fragments: int):
             yield pa.RecordBatch.from_pydict(
                 {n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds))}
             )
+        give_back()
 
     return run
 
@@ -289,7 +293,8 @@ def dedup_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     joined = df.join(repeats, own, "left")
 
     def run(batches):
-        for batch in small_batches(batches, text):
+        worker_cache("substrings")
+        for batch in small_batches(batches, text, SLICE_BYTES):
             texts, spans, words = [], [], []
             columns = (batch.column(text).cast(pa.binary()), batch.column("_places"), batch.column("_digests"))
             for t, places, digests in zip(*columns):
@@ -311,5 +316,6 @@ def dedup_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                     "cut_words": pa.array(words, pa.int64()),
                 },
             ).select(schema.names)
+        give_back()
 
     return joined.mapInArrow(run, schema)

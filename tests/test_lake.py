@@ -82,7 +82,6 @@ def raw(spark, path, count):
 def test_one_poisonous_file_of_fifty(spark, lake):
     raw(spark, lake("raw"), 50)
     victim = next(f"{lake('raw')}/f=23/{n}" for n in os.listdir(lake("raw") + "/f=23") if n.endswith(".parquet"))
-    good = open(victim, "rb").read()
     with open(victim, "wb") as out:
         out.write(b"no parquet at all")
     os.remove(os.path.join(os.path.dirname(victim), f".{os.path.basename(victim)}.crc"))
@@ -104,7 +103,6 @@ def test_one_poisonous_file_of_fifty(spark, lake):
     assert run()[:2] == (49, 2)  # left alone now
     staged = spark.read.parquet(lake("staged"))
     assert staged.count() == 49 and staged.select("content_hash").distinct().count() == 49
-    assert good
 
 
 def test_interrupted_batch_keeps_its_name(spark, lake, monkeypatch):
@@ -318,7 +316,7 @@ def test_tiers_move_once(spark, lake):
         found = lifecycle.move_tiers(spark, lake("t"), lake("audit"), name, day(when), rows.schema, limits)
         return {(r.from_tier, r.tier, r.action): r.rows for r in found.collect()}
 
-    assert run("r0", "2024-06-01") == {("expired", "expired", "expire"): 19} or True
+    assert run("r0", "2024-06-01") == {}
     whole = rows.unionByName(rows.filter("id < 5"))
     plan = lifecycle.retention_plan(whole, "ts", day("2024-06-01"), day("2024-06-21"), limits)
     want = {(r.from_tier, r.tier, r.action): r.rows for r in plan.filter("action <> 'keep' and from_tier <> 'expired'").collect()}

@@ -221,7 +221,7 @@ def stage_images(spark, sf_dir):
 
 
 @query(
-    """select least(vec_id // 100, 4) as raw_part, count(*) filter (where vec_id % 10 <> 0) as records
+    """select vec_id // 100 as raw_part, count(*) filter (where vec_id % 10 <> 0) as records
        from embeddings group by 1"""
 )
 def stage_file_ledger(spark, sf_dir):
@@ -233,7 +233,7 @@ def _staged(spark, sf_dir):
     folder = scratch(spark, "staged")
     broken = F.col("image_id") % 10 == 0
     image = F.col("image").withField("height", F.when(broken, -1).otherwise(F.col("image.height")))
-    part = F.least(F.floor(F.col("image_id") / 100), F.lit(4)).alias("raw_part")
+    part = F.floor(F.col("image_id") / 100).alias("raw_part")
     raw = grey8(spark, sf_dir).select(image.alias("image"), part)
     raw.repartition("raw_part").write.partitionBy("raw_part").parquet(f"{folder}/raw")
     jobs.stage_raw(

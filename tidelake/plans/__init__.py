@@ -9,6 +9,7 @@ _MODULES = [
     "quality_queries",
     "model_queries",
     "lake_queries",
+    "sketch_queries",
 ]
 
 

@@ -14,7 +14,7 @@ from tidelake.sinks.files import export_files
 from tidelake.sinks.tables import append, persist_raw, replace_by_source
 from tidelake.sources.files import file_inventory, read_images, read_required, select_path, with_source
 from tidelake.sources.streams import message_image, table_stream
-from tidelake.streaming import jobs, windows
+from tidelake.streaming import jobs, joins, windows
 
 
 def _stream(spark, sf_dir, name, **options):
@@ -251,3 +251,38 @@ def _staged(spark, sf_dir):
     number = F.regexp_extract("file_path", r"raw_part=(\d+)", 1).cast("long")
     per_part = counted.groupBy(number.alias("raw_part")).agg(F.sum("records_processed").alias("records"))
     return shown, per_part
+
+
+@query(
+    """with l as (select user_id, event_id, ts, value from events where event_type = 'purchase'),
+            f as (select user_id, event_id, ts, value from events where event_type = 'view'),
+            j as (select l.*, f.event_id as fe, f.ts as ft, f.value as fv
+                  from l asof left join f on l.user_id = f.user_id and l.ts >= f.ts)
+       select user_id, event_id, ts, value, case when ft >= ts - interval '3 days' then fe end as f_event_id,
+              case when ft >= ts - interval '3 days' then fv end as f_value from j"""
+)
+def stream_training_view(spark, sf_dir):
+    """Purchases with the last view of their user in three days, both as streams of several micro-batches.
+
+    A last file far behind all others ends every wait, so all labels are given.
+    """
+    folder = scratch(spark, "views")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "value", "event_type")
+    events.repartitionByRange(4, "ts").write.parquet(f"{folder}/in")
+    kinds = events.select(F.explode(F.array(F.lit("purchase"), F.lit("view"))).alias("event_type")).distinct()
+    end = events.agg(F.max("ts").alias("ts")).crossJoin(kinds)  # two rows
+    closing = end.select(
+        # rows without a key are dropped before their time is seen
+        F.lit(-1).alias("user_id"), F.lit(None).cast("long").alias("event_id"),
+        (F.col("ts") + F.expr("interval 1000 days")).alias("ts"), F.lit(None).cast("double").alias("value"), "event_type",
+    )
+    append(closing.select(*[F.col(f.name).cast(f.dataType) for f in events.schema]), f"{folder}/in", files=1)
+
+    def side(kind):
+        stream = table_stream(spark, f"{folder}/in", events.schema, files_per_batch=2)
+        return stream.filter(F.col("event_type") == kind).drop("event_type")
+
+    # files come in any order, so nothing of the month counts as late
+    view = joins.as_of_stream(side("purchase"), side("view"), "user_id", "ts", "event_id", "event_id", "3 days", "100 days")
+    rows = _landed(spark, view.drop("f_ts"), folder).filter("event_id is not null")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

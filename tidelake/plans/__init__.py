@@ -10,6 +10,7 @@ _MODULES = [
     "model_queries",
     "lake_queries",
     "sketch_queries",
+    "keyed_queries",
 ]
 
 

@@ -56,6 +56,7 @@ class Pieces:
     """Combines what ``compute`` gives for each pre-token of a text, by ``join``.
 
     Two caches: of words between two spaces, which spares most of the splitting, and of pre-tokens.
+    The letters at the head of a word such as ``then,`` are looked up as the word they would be alone.
     """
 
     def __init__(self, compute: Callable, join: Callable, fixed: dict | None = None, words: int = WORD_ENTRIES):
@@ -67,7 +68,10 @@ class Pieces:
         def word(text: str):
             if text.isalpha():  # letters only are one pre-token
                 return compute(" " + text)
-            return join(map(self._token, split(" " + text)))
+            head, *rest = split(" " + text)
+            if head[1:].isalpha():
+                return join((self._word(head[1:]), *map(self._token, rest)))
+            return join((self._token(head), *map(self._token, rest)))
 
         known = {t[1:]: v for t, v in fixed.items() if t[:1] == " " and t[1:].isalpha()}
         self._word = Memo(known, word, words).__getitem__

@@ -326,3 +326,29 @@ def test_tiers_move_once(spark, lake):
     alive = left.filter("tier <> 'expired'")
     assert alive.count() == whole.filter(F.date_diff(day("2024-06-21"), F.col("ts")) <= 80).count()
     assert alive.filter(lifecycle.tier(F.col("ts"), day("2024-06-21"), limits) != F.col("tier")).count() == 0
+
+
+def test_files_that_fail_cost_no_passes(spark, lake, monkeypatch):
+    for i in range(12):
+        append(spark.createDataFrame([(bytearray(png(picture(i))),)] * 3, schema.RAW), f"{lake('raw')}/f={i:02d}", files=1)
+    grey = [int(picture(i)[0, 0, 0]) for i in range(12)]
+    spoilt, marks = {2, 3, 7}, {grey[i] for i in (2, 3, 7)}
+
+    def kernel(stack, draws):
+        if any(int(p[0, 0, 0]) in marks for p in stack):
+            raise ValueError("spoilt")
+        return stack
+
+    assert {i for i in range(12) if grey[i] in marks} == spoilt
+    passes, real = [], jobs._standardised
+    monkeypatch.setattr(jobs, "_standardised", lambda *a, **k: passes.append(1) or real(*a, **k))
+    for run in (1, 2, 3):
+        jobs.stage_files(
+            spark, lake("raw") + "/*", lake("staged"), lake("ledger"), lake("attempts"),
+            [images.Step("spoilt", kernel)], decoder=unpng, files_per_batch=2, max_attempts=3,
+        )
+        assert len(passes) == run
+        assert spark.read.schema(schema.FILE_LEDGER).parquet(lake("ledger")).agg(F.sum("records_processed")).first()[0] == 27
+        assert spark.read.parquet(lake("staged")).count() == 27
+    dead = jobs.read_or_empty(spark, lake("attempts_dead"), jobs.DEAD).collect()
+    assert {(int(d.file_path.split("/f=")[1][:2]), d.attempts, d.error) for d in dead} == {(i, 3, "ValueError: spoilt") for i in spoilt}

@@ -308,3 +308,15 @@ def test_failed_exports_are_kept_with_their_reason(spark, lake, tmp_path):
     jobs.export_images(spark, lake("staged"), str(tmp_path / "out"), lake("exports"), lambda p: b"x")
     jobs.export_images(spark, lake("staged"), str(tmp_path / "out"), lake("exports"), lambda p: b"x")
     assert spark.read.parquet(lake("exports")).count() == 6
+
+
+def test_small_batches_share_a_pass(spark, lake, monkeypatch):
+    passes, real = [], jobs._standardised
+    monkeypatch.setattr(jobs, "_standardised", lambda *a, **k: passes.append(1) or real(*a, **k))
+    for i in range(7):
+        raw(spark, lake("raw"), [png(picture(i))])
+    stage(spark, lake, files_per_batch=2)
+    assert len(passes) == 1
+    batches = staged(spark, lake).groupBy("batch_id").count().collect()
+    assert sorted(b["count"] for b in batches) == [1, 2, 2, 2]
+    assert sorted(b["count"] for b in files(spark, lake).filter("records_processed > 0").groupBy("batch_id").count().collect()) == [1, 2, 2, 2]

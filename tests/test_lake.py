@@ -352,3 +352,33 @@ def test_files_that_fail_cost_no_passes(spark, lake, monkeypatch):
         assert spark.read.parquet(lake("staged")).count() == 27
     dead = jobs.read_or_empty(spark, lake("attempts_dead"), jobs.DEAD).collect()
     assert {(int(d.file_path.split("/f=")[1][:2]), d.attempts, d.error) for d in dead} == {(i, 3, "ValueError: spoilt") for i in spoilt}
+
+
+def shortened(monkeypatch):
+    monkeypatch.setattr(lifecycle, "SHORT_EDGES", 20)
+    used, real = [], lifecycle._along_chains
+    monkeypatch.setattr(lifecycle, "_along_chains", lambda *a: used.append(real(*a)) or used[-1])
+    return used
+
+
+def test_chains_are_shortened_first(spark, monkeypatch):
+    used, written, real = shortened(monkeypatch), [], lifecycle.stored
+    monkeypatch.setattr(lifecycle, "stored", lambda df: (found := real(df), written.append(found.count()))[0])
+    chain = spark.range(1000).select(F.col("id").cast("string").alias("source"), (F.col("id") + 1).cast("string").alias("target"))
+    found = {r.node: r.depth for r in lifecycle.lineage(chain, spark.createDataFrame([("1000",)], "node string")).collect()}
+    assert found == {str(i): 1000 - i for i in range(1000)} and used[0] is not None
+    assert sum(written) < 12 * 1000  # doubling alone writes some 15,000
+
+
+def test_shortened_lineage_against_brute_force(spark, monkeypatch):
+    used = shortened(monkeypatch)
+    rng = random.Random(5)
+    # chains of several lengths between a few artefacts, a cycle, a loop, and repeated edges
+    edges = []
+    for chain in range(14):
+        nodes = [f"h{rng.randrange(6)}", *[f"c{chain}_{i}" for i in range(rng.randrange(1, 9))], f"h{rng.randrange(6)}"]
+        edges += list(zip(nodes, nodes[1:]))
+    edges += [("z0", "z1"), ("z1", "z2"), ("z2", "z0"), ("c1_0", "c1_0"), ("h2", "h2")] + edges[:4]
+    for start in (["h0"], ["h3", "c2_0", "z1"], ["nowhere"]):
+        assert ancestors(spark, edges, start) == brute_ancestors(edges, set(start))
+    assert used and used[0] is not None

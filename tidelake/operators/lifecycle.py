@@ -14,6 +14,9 @@ from tidelake.sources.files import file_inventory
 #: Pointers of lineage are doubled as long as they are at most so many for each edge.
 POINTERS_PER_EDGE = 4
 
+#: Chains are shortened before that while there are more edges than this, and a round takes out at least one in so many.
+SHORT_EDGES, LEAST_CUT = 500_000, 10
+
 # fixed values: days in each tier
 TIERS = {"hot": 7, "cold": 365, "archive": 3650}
 
@@ -54,10 +57,18 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
     does what is known, so a chain of depth d takes log2(d) rounds. Where pointers would outgrow the
     edges, as among many artefacts with many sources each, the rest goes edge by edge from the newest
     nodes. Every round is stored, so none repeats the work before it.
+
+    Among many edges, artefacts that only one other was made from are first taken out, a part of them in
+    each round, and their edges joined to one that counts for several; their distances follow from
+    those that are left. So a long chain costs a few times its length, not its length in every round.
     """
     edges = stored(edges.select("source", "target").filter("source is not null and target is not null").distinct())
     size = edges.count()
     known = stored(start.select("node").filter("node is not null").distinct().withColumn("depth", F.lit(0)))
+    if size > SHORT_EDGES:
+        found = _along_chains(edges, size, known)
+        if found is not None:
+            return found
     pointers, span, count = edges, 1, known.count()
     while True:
         # pointers of this span lead from all that is nearer than it to all that is nearer than twice as far
@@ -77,6 +88,66 @@ def lineage(edges: DataFrame, start: DataFrame) -> DataFrame:
         pointers = stored(pointers.withColumnRenamed("target", "middle").join(nearer, "middle").select("source", "target").distinct())
 
 
+def _along_chains(edges: DataFrame, size: int, known: DataFrame) -> DataFrame | None:
+    """Ancestors by edges of which most are parts of chains; None if they aren't."""
+    left, taken = edges.withColumn("length", F.lit(1)), []
+    while size > SHORT_EDGES:
+        coin = F.lit(len(taken)).cast("long")
+
+        def goes(node: str) -> Column:
+            return F.xxhash64(F.col(node), coin) % 2 == 0
+
+        # one target, and one that stays: then no two that go are neighbours
+        single = left.groupBy("source").agg(F.min("target").alias("to"), F.max("target").alias("other"), F.min("length").alias("more"))
+        out = single.filter((F.col("to") == F.col("other")) & goes("source") & ~goes("to")).select(F.col("source").alias("node"), "to", "more")
+        out = stored(out.join(known.select("node"), "node", "left_anti"))
+        # a node that goes is not looked for among the others
+        stays = left.filter(~goes("source")).unionByName(
+            left.filter(goes("source")).join(out.select(F.col("node").alias("source")), "source", "left_anti")
+        )
+        passed = stays.filter(goes("target")).join(out, F.col("target") == F.col("node"), "left").select(
+            "source", F.coalesce("to", "target").alias("target"), (F.col("length") + F.coalesce("more", F.lit(0))).alias("length")
+        )
+        left = stored(passed.unionByName(stays.filter(~goes("target"))).filter("source <> target"))
+        before, size = size, left.count()
+        if before - size < before / LEAST_CUT:
+            if not taken:
+                return None
+            taken.append(out)
+            break
+        taken.append(out)
+    left = stored(left.groupBy("source", "target").agg(F.min("length").alias("length")))
+    found = _doubled(left, left.count(), known)
+    if found is None:
+        return None
+    for out in reversed(taken):
+        nearer = found.select(F.col("node").alias("to"), "depth")
+        found = stored(found.unionByName(out.join(nearer, "to").select("node", (F.col("depth") + F.col("more")).alias("depth"))))
+    return found.filter("depth > 0")
+
+
+def _doubled(edges: DataFrame, size: int, known: DataFrame) -> DataFrame | None:
+    """Distances by edges of any ``length``, with doubled pointers; None where those would outgrow the edges."""
+    pointers, at = edges, None
+    while True:
+        further = known.join(pointers, F.col("node") == F.col("target")).select(
+            F.col("source").alias("node"), (F.col("depth") + F.col("length")).alias("depth")
+        )
+        known = stored(known.unionByName(further).groupBy("node").agg(F.min("depth").alias("depth")))
+        # a path of more edges may be shorter, so distances must stand still, too
+        before, at = at, tuple(known.agg(F.count("*"), F.sum(F.col("depth").cast("decimal(38,0)"))).first())
+        if before == at:
+            return known
+        into = pointers.groupBy(F.col("target").alias("node")).agg(F.count("*").alias("up"))
+        out = pointers.groupBy(F.col("source").alias("node")).agg(F.count("*").alias("down"))
+        grown = into.join(out, "node").agg(F.coalesce(F.sum(F.col("up").cast("decimal(38,0)") * F.col("down")), F.lit(0))).first()[0]
+        if grown > POINTERS_PER_EDGE * size + SMALL_ROWS:
+            return None
+        nearer = pointers.select(F.col("source").alias("middle"), "target", F.col("length").alias("rest"))
+        joined = pointers.withColumnRenamed("target", "middle").join(nearer, "middle")
+        pointers = stored(joined.groupBy("source", "target").agg(F.min(F.col("length") + F.col("rest")).alias("length")))
+
+
 def _by_level(edges: DataFrame, known: DataFrame, span: int) -> DataFrame:
     """Goes on from all ancestors nearer than ``span``, one level at a time."""
     frontier = known.filter(F.col("depth") == span - 1)

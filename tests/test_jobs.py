@@ -320,3 +320,15 @@ def test_small_batches_share_a_pass(spark, lake, monkeypatch):
     batches = staged(spark, lake).groupBy("batch_id").count().collect()
     assert sorted(b["count"] for b in batches) == [1, 2, 2, 2]
     assert sorted(b["count"] for b in files(spark, lake).filter("records_processed > 0").groupBy("batch_id").count().collect()) == [1, 2, 2, 2]
+
+
+def test_files_of_a_content_stream_grow_with_the_text(spark, sf, monkeypatch):
+    from tidelake.plans import stream_queries
+
+    real, paths = stream_queries.table_stream, []
+    monkeypatch.setattr(stream_queries, "table_stream", lambda s, path, *a, **k: paths.append(path) or real(s, path, *a, **k))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(stream_queries, "BYTES_PER_FILE", docs.agg(F.sum(F.octet_length("text"))).first()[0] // 6)
+    found = stream_queries.stream_new_content(spark, sf)
+    assert file_inventory(spark, paths[0]).count() >= 6
+    assert sorted(r[0] for r in found.collect()) == sorted(r[0] for r in docs.select(F.md5("text")).distinct().collect())

@@ -382,3 +382,17 @@ def test_shortened_lineage_against_brute_force(spark, monkeypatch):
     for start in (["h0"], ["h3", "c2_0", "z1"], ["nowhere"]):
         assert ancestors(spark, edges, start) == brute_ancestors(edges, set(start))
     assert used and used[0] is not None
+
+
+def test_landing_folder_is_read_in_parts(spark, sf, monkeypatch):
+    from tidelake.plans import lake_queries
+
+    real, written = lake_queries.persist_raw, []
+    monkeypatch.setattr(lake_queries, "persist_raw", lambda stream, path, *a, **k: written.append(path) or real(stream, path, *a, **k))
+    monkeypatch.setattr(lake_queries, "FILES_PER_STREAM", 80)
+    found = lake_queries.landing_folder(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert len(written) == 2 * len(set(written)) == 2 * -(-docs.count() // 80) > 2
+    assert all(file_inventory(spark, path).count() <= 16 for path in set(written))
+    assert all((r.files, r.runs) == (1, 1) for r in found)
+    assert sorted(r.content_hash for r in found) == sorted(r[0] for r in docs.select(F.md5("text")).distinct().collect())

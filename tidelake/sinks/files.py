@@ -35,7 +35,7 @@ def export_files(
 ) -> DataFrame:
     """Write ``blob`` of each row to ``folder/name`` and return what came of each row.
 
-    ``folder`` must be a path that every node mounts. A file gets its name only when it is complete,
+    ``folder`` must be a path that every node mounts; a name may have folders in it. A file gets its name only when it is complete,
     and the name comes from the content, so a retried task writes the same file again. A row whose
     encoder fails, or that comes with an ``error``, has no path but the reason, and is tried again by
     the next run. The files are written when the result is, so store the result once.
@@ -45,6 +45,7 @@ def export_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(folder, exist_ok=True)
+        made: set[str] = set()
         for batch in batches:
             done = []
             for row in batch.to_pylist():
@@ -58,6 +59,9 @@ def export_files(
                     done.append((row["content_hash"], None, row["source_file"], None, reason))
                     continue
                 target = os.path.join(folder, row[name])
+                if os.path.dirname(target) not in made:
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    made.add(os.path.dirname(target))
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 with open(part, "wb") as out:
                     out.write(data)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -178,3 +179,16 @@ def test_queries(spark, sf, library, reference):
         found = np.array(ids(library, docs[row.doc_id]) + [0], "<u4")
         assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(found), zlib.crc32(found.tobytes()))
         start += len(found)
+
+
+def test_decoding_holds_the_places_of_a_slice_only():
+    found = bpe.Decoder(RANKS)
+    ids = np.random.default_rng(3).integers(256, len(found.sizes), 400_000).astype(np.int32)
+    tracemalloc.start()
+    raw, sizes = found.decode(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * len(raw) + 24 * len(ids) + (64 << 20) // 8
+    known = {rank: token for token, rank in bpe.read_ranks(RANKS).items()}
+    assert raw == b"".join(known[i] for i in ids.tolist()) and sizes.sum() == len(raw)
+    assert found.decode(ids[:0])[0] == b""

@@ -25,6 +25,9 @@ from tidelake.llm.pretokens import Memo, Pieces
 PART_ENTRIES = 100_000
 #: Words that a worker remembers in each generation.
 WORD_ENTRIES = 250_000
+#: Bytes of text that a worker encodes at a time, and ids whose bytes it looks up at a time.
+TEXT_BYTES = 2 << 20
+DECODED_IDS = 1 << 15
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -113,9 +116,14 @@ class Decoder:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or self.sizes[ids].min() < 0):
             raise KeyError("an id that the vocabulary lacks")
         sizes = self.sizes[ids]
+        # a place takes eight times the memory of its byte, so only a slice has its places at a time
+        slices = (slice(at, at + DECODED_IDS) for at in range(0, len(ids), DECODED_IDS))
+        return b"".join(self._bytes(ids[some], sizes[some]) for some in slices), sizes
+
+    def _bytes(self, ids: np.ndarray, sizes: np.ndarray) -> bytes:
         ends = np.cumsum(sizes)
         first = self.starts[ids] - (ends - sizes)
-        return self.row[np.repeat(first, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes(), sizes
+        return self.row[np.repeat(first, sizes) + np.arange(ends[-1])].tobytes()
 
 
 def decoder(path: str) -> Decoder:
@@ -156,7 +164,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
     def run(batches):
         ids_of = vocabulary(path, shared).ids.of
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, TEXT_BYTES):
             yield with_columns(batch, {out: _encoded(ids_of, texts_of(batch, text))}).select(schema.names)
 
     return df.mapInArrow(run, schema)
@@ -169,7 +177,7 @@ def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "
 
     def run(batches):
         ids_of, found = vocabulary(path, shared).ids.of, decoder(path)
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, TEXT_BYTES):
             coded = _encoded(ids_of, texts_of(batch, text))
             yield with_columns(batch, {ids: coded, out: _decoded(found, coded)}).select(schema.names)
         give_back()

@@ -192,3 +192,35 @@ def test_decoding_holds_the_places_of_a_slice_only():
     known = {rank: token for token, rank in bpe.read_ranks(RANKS).items()}
     assert raw == b"".join(known[i] for i in ids.tolist()) and sizes.sum() == len(raw)
     assert found.decode(ids[:0])[0] == b""
+
+
+@pytest.mark.parametrize("entries", [3, 100_000])
+def test_texts_at_once_give_the_library_s_ids_with_few_calls_of_its_model(library, entries):
+    rng, lib = random.Random(7), pretokens.Library(JSON)
+    texts = ["".join(rng.choices("aàbéstñ", k=rng.randint(1, 9))) + rng.choice(["", ".", ",\nAb", "'s", "'", " ", "  ", "12", "\xa0a"]) for _ in range(6000)]
+    texts = ["", " ", "the", *(" ".join(texts[at : at + 20]) for at in range(0, len(texts), 20))]
+    calls, tokenize = [], lib._tokenize
+    lib._tokenize = lambda letters: calls.append(letters) or tokenize(letters)
+    pieces = pretokens.Pieces(
+        lambda t: np.array(lib.token(t), "<u4").tobytes(), b"".join, words=entries, many=lib.words
+    )
+    assert pieces.all([]) == [] and lib.words([]) == []
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in pieces.all(texts)] == [ids(library, t) for t in texts]
+    words = ["".join(rng.choices("abcdefgé", k=8)) for _ in range(2000)]
+    calls.clear()
+    assert [np.frombuffer(b, "<u4").tolist() for b in pieces.all([" ".join(["a", *words])])] == [ids(library, " ".join(["a", *words]))]
+    if entries > len(words):
+        assert len(calls) < 100
+
+
+def test_words_go_to_the_model_one_by_one_if_merges_may_cross_a_space():
+    letters = pretokens._byte_letters()
+    vocab = {c: i for i, c in enumerate(letters)}
+    assert pretokens._openers({"vocab": vocab}, letters).sum() == 1
+    assert pretokens._openers({"vocab": vocab | {"aĠb": 256}}, letters) is None
+    assert pretokens._openers({"vocab": vocab, "ignore_merges": True}, letters) is None
+    lib = pretokens.Library(JSON)
+    joined = lib.words(["then", "été", "x" * 300])
+    lib._opens = None
+    assert lib.words(["then", "été", "x" * 300]) == joined

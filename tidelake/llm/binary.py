@@ -101,8 +101,9 @@ _encoders: dict[str, Pieces] = {}
 
 def _encoder(path: str) -> Pieces:
     if path not in _encoders:
-        token = library(path).token
-        _encoders[path] = Pieces(lambda t: array("I", token(t)).tobytes(), b"".join, words=WORD_ENTRIES)
+        lib = library(path)
+        token = lib.token
+        _encoders[path] = Pieces(lambda t: array("I", token(t)).tobytes(), b"".join, words=WORD_ENTRIES, many=lib.words)
     return _encoders[path]
 
 
@@ -132,8 +133,11 @@ def write(df: DataFrame, out: str, path: str, end_id: int, doc_id: str = "doc_id
 
         held = 0
         for batch in small_batches(batches, "t"):
-            for key, t in zip(batch.column("k").to_pylist(), texts_of(batch, "t")):
-                found = pieces.of(t) if lib.splits(t) else np.array(lib.whole(t), "<u4").tobytes()
+            texts = texts_of(batch, "t")
+            apart = [lib.splits(t) for t in texts]
+            coded = iter(pieces.all([t for t, yes in zip(texts, apart) if yes]))
+            for key, t, yes in zip(batch.column("k").to_pylist(), texts, apart):
+                found = next(coded) if yes else np.array(lib.whole(t), "<u4").tobytes()
                 keys.append(key)
                 lengths.append(len(found) // 4 + 1)
                 ids += (found, ending)
